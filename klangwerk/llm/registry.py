@@ -1,9 +1,10 @@
 """The queries opN_<name> and their SQL, where SQL can express them."""
 
-from klangwerk.llm import chat, langid, linededup, mixing
+from klangwerk.llm import chat, jaccard, langid, linededup, mixing
 
 QUERIES = {
     "op1_language_id": langid.query,
+    "op6_jaccard_join": jaccard.query,
     "op8_source_mixing": mixing.query,
     "op9_chat_format": chat.query,
     "op10_line_dedup": linededup.query,
