@@ -163,8 +163,10 @@ def _texts_of(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
     return found.groupBy("sid").agg(F.first("members").alias("members")).join(wanted, "sid", "left_semi")
 
 
-def _verified(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose sets are similar enough, by exact intersection."""
+def _verified(docs: DataFrame, k: int, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) whose sets are similar enough, by exact intersection; only sets in pairs are sent."""
+    wanted = materialise(pairs.select(F.explode(F.array("u", "v")).alias("sid")).distinct(), "jaccard-wanted")
+    members = _texts_of(docs, k, wanted)
     both = pairs.join(members.select(F.col("sid").alias("u"), F.col("members").alias("a")), "u").join(
         members.select(F.col("sid").alias("v"), F.col("members").alias("b")), "v"
     )
@@ -214,9 +216,7 @@ def similar_sets(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tup
     led = crowded.select(F.col("f.sid").alias("u"), F.col("f.n").alias("n2"), F.col("f.at").alias("at2"), F.col("sid").alias("v"), "n", "at")
     ordered = lambda p: p.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     first = materialise(ordered(led.where(fits & (F.col("u") != F.col("v")))), "jaccard-pairs")
-    wanted = crowded.select("sid").distinct()
-    members = materialise(_texts_of(docs, k, materialise(wanted, "jaccard-wanted")), "jaccard-members")
-    links = materialise(_verified(first, members, percent).union(light_links).distinct(), "jaccard-links")
+    links = materialise(_verified(docs, k, first, percent).union(light_links).distinct(), "jaccard-links")
 
     found = components(links)
     known = crowded.join(found, crowded["sid"] == found["u"], "left").select("key", "sid", "n", "at", F.coalesce("root", "sid").alias("root"))
@@ -226,7 +226,7 @@ def similar_sets(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tup
     other = apart.select("key", F.col("sid").alias("sid2"), F.col("n").alias("n2"), F.col("at").alias("at2"), F.col("root").alias("root2"))
     second = apart.join(other, "key").where((F.col("sid") < F.col("sid2")) & (F.col("root") != F.col("root2")) & fits)
     second = ordered(second.select(F.col("sid").alias("u"), F.col("sid2").alias("v"))).join(first, ["u", "v"], "left_anti")
-    more = materialise(_verified(materialise(second, "jaccard-pairs"), members, percent), "jaccard-links")
+    more = materialise(_verified(docs, k, materialise(second, "jaccard-pairs"), percent), "jaccard-links")
     return rows, (components(links.union(more)) if more.limit(1).count() else found)
 
 
