@@ -54,22 +54,27 @@ def _batch(schema: str, *columns) -> pa.RecordBatch:
 
 
 def set_table(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, sid, n) of every document, and per task a row (null, shingle, count) of its frequent shingles."""
+    """(doc_id, sid, n, counts) of every document, and per task a row (null, shingle, count) of its frequent shingles.
+
+    counts: how many shingles fall to each of 256 ranges of hashes, 255 at most; two sets share no more
+    than the sum of the lesser counts, so it tells most candidates that can't link at 256 bytes a set.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen_h, seen_n, pending = np.zeros(0, np.uint64), np.zeros(0, np.int64), []
         for batch in batches:
             for part, sets, ids in _sets(batch, k):
                 n = np.array([len(x) for x in sets], np.int64)
-                yield _batch("doc_id sid n freq", part.column("doc_id").cast(pa.int64()), ids, n, np.zeros(len(n), bool))
+                counts = tk.binaries([np.minimum(np.bincount((x >> np.uint64(56)).astype(np.int64), minlength=256), 255).astype(np.uint8).tobytes() if len(x) else None for x in sets])
+                yield _batch("doc_id sid n freq counts", part.column("doc_id").cast(pa.int64()), ids, n, np.zeros(len(n), bool), counts)
                 pending.append(np.concatenate(sets) if sets else np.zeros(0, np.uint64))
                 if sum(map(len, pending)) > 1 << 20:
                     seen_h, seen_n = _merge(seen_h, seen_n, pending)
                     pending = []
         seen_h, seen_n = _merge(seen_h, seen_n, pending)
-        yield _batch("doc_id sid n freq", pa.nulls(len(seen_h), pa.int64()), seen_h.view(np.int64), seen_n, np.ones(len(seen_h), bool))
+        yield _batch("doc_id sid n freq counts", pa.nulls(len(seen_h), pa.int64()), seen_h.view(np.int64), seen_n, np.ones(len(seen_h), bool), pa.nulls(len(seen_h), pa.binary()))
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, sid long, n long, freq boolean")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, sid long, n long, freq boolean, counts binary")
 
 
 def _merge(h: np.ndarray, n: np.ndarray, pending: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -163,10 +168,45 @@ def _texts_of(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
     return found.groupBy("sid").agg(F.first("members").alias("members")).join(wanted, "sid", "left_semi")
 
 
+def _possible(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs that their counts by range of hashes leave possible."""
+    wanted = pairs.select(F.explode(F.array("u", "v")).alias("sid")).distinct()
+    told = materialise(sets.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.first("n").alias("n"), F.first("counts").alias("counts")), "jaccard-counts")
+    side = lambda x, n, c: told.select(F.col("sid").alias(x), F.col("n").alias(n), F.col("counts").alias(c))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            a, b = (np.frombuffer(b"".join(x.as_py() for x in batch.column(c)), np.uint8).reshape(-1, 256) for c in ("a", "b"))
+            n, n2 = batch.column("n").to_numpy(), batch.column("n2").to_numpy()
+            most = np.minimum(a, b).sum(axis=1, dtype=np.int64)
+            full = ((a == 255) & (b == 255)).any(axis=1)  # such a range tells no bound
+            mask = pa.array(full | (100 * most >= percent * (n + n2 - most)))
+            yield pa.RecordBatch.from_arrays([batch.column("u").filter(mask), batch.column("v").filter(mask)], ["u", "v"])
+
+    met = pairs.join(side("u", "n", "a"), "u").join(side("v", "n2", "b"), "v")
+    return materialise(met.select("u", "v", "n", "n2", "a", "b").mapInArrow(run, "u long, v long"), "jaccard-possible")
+
+
+def _crowded(scans: DataFrame) -> DataFrame:
+    """The entries of lists with more than one set, with their list's leader f (the smallest set)."""
+    leader = scans.groupBy("key").agg(F.min("sid").alias("f"), F.max("sid").alias("other")).where("f <> other").select("key", "f")
+    leader = materialise(leader, "jaccard-leaders")
+    words = bloom(leader, "key", leader.count())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(in_bloom(words, batch.column("key").to_numpy().view(np.uint64))))
+
+    near = scans.mapInArrow(run, scans.schema).distinct().join(leader, "key")
+    return materialise(near, "jaccard-crowded")
+
+
 def _verified(docs: DataFrame, k: int, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) whose sets are similar enough, by exact intersection; only sets in pairs are sent."""
     wanted = materialise(pairs.select(F.explode(F.array("u", "v")).alias("sid")).distinct(), "jaccard-wanted")
-    members = _texts_of(docs, k, wanted)
+    members = materialise(_texts_of(docs, k, wanted), "jaccard-members")
     both = pairs.join(members.select(F.col("sid").alias("u"), F.col("members").alias("a")), "u").join(
         members.select(F.col("sid").alias("v"), F.col("members").alias("b")), "v"
     )
@@ -190,33 +230,33 @@ def _verified(docs: DataFrame, k: int, pairs: DataFrame, percent: int) -> DataFr
 def similar_sets(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(doc_id, sid, n) of every document, and (u, root): components of linked set ids."""
     told = materialise(set_table(docs, k), "jaccard-sets")
-    rows = told.where("not freq").select("doc_id", "sid", "n")
+    sets = told.where("not freq")
+    rows = sets.select("doc_id", "sid", "n")
     often = told.where("freq").groupBy("sid").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "sid").limit(FREQUENT).toArrow()
     order = np.argsort(often["sid"].to_numpy().view(np.uint64)) if often.num_rows else np.zeros(0, np.int64)
     frequent = (often["sid"].to_numpy()[order].view(np.uint64), often["n"].to_numpy()[order])
     histogram = {r["n"]: r["count"] for r in rows.where("n > 0 and n <= 64").groupBy("n").count().collect()}
     light = boundary(histogram, percent)
 
-    lists = materialise(_prefixes(docs, k, percent, light, frequent).distinct(), "jaccard-lists")
+    lists = materialise(_prefixes(docs, k, percent, light, frequent), "jaccard-lists")
     # a subset's smallest set needs the least overlap with every other: pairing with it loses no link
-    subsets = lists.where("at > 0").groupBy("key", "at").agg(F.min(F.struct("n", "sid")).alias("f"), F.count("*").alias("c")).where("c > 1")
+    subsets = lists.where("at > 0").groupBy("key", "at").agg(F.min(F.struct("n", "sid")).alias("f"), F.min("sid").alias("a"), F.max("sid").alias("b")).where("a <> b")
     light_links = lists.where("at > 0").join(subsets.select("key", "at", "f"), ["key", "at"]).where(
         (F.col("sid") != F.col("f.sid")) & (F.col("at") >= _needed(F.col("n"), F.col("f.n"), percent))
     ).select(F.col("f.sid").alias("u"), F.col("sid").alias("v"))
 
-    scans = lists.where("at < 0")
     near = (F.col("n") * 100 >= F.col("n2") * percent) & (F.col("n2") * 100 >= F.col("n") * percent)
     heavy = (F.col("n") > light) | (F.col("n2") > light)
-    # what both sets have from the shared shingle on bounds their overlap if it is the first they share
+    # what both sets have from the shared shingle on, and before it, bounds their overlap
     rest = F.least(F.col("n") + F.col("at"), F.col("n2") + F.col("at2")) + 1
     others = F.least(-F.col("at"), -F.col("at2")) - 1
     fits = near & heavy & (rest + others >= _needed(F.col("n"), F.col("n2"), percent))
-    leader = scans.groupBy("key").agg(F.min(F.struct("n", "sid", "at")).alias("f"), F.count("*").alias("c")).where("c > 1")
-    crowded = materialise(scans.join(leader.select("key", "f"), "key"), "jaccard-crowded")
-    led = crowded.select(F.col("f.sid").alias("u"), F.col("f.n").alias("n2"), F.col("f.at").alias("at2"), F.col("sid").alias("v"), "n", "at")
+    crowded = _crowded(lists.where("at < 0"))
+    heads = crowded.where("sid = f").select("key", F.col("sid").alias("u"), F.col("n").alias("n2"), F.col("at").alias("at2"))
+    led = crowded.where("sid <> f").join(heads, "key").withColumnRenamed("sid", "v")
     ordered = lambda p: p.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    first = materialise(ordered(led.where(fits & (F.col("u") != F.col("v")))), "jaccard-pairs")
-    links = materialise(_verified(docs, k, first, percent).union(light_links).distinct(), "jaccard-links")
+    first = materialise(ordered(led.where(fits)), "jaccard-pairs")
+    links = materialise(_verified(docs, k, _possible(told, first, percent), percent).union(light_links).distinct(), "jaccard-links")
 
     found = components(links)
     known = crowded.join(found, crowded["sid"] == found["u"], "left").select("key", "sid", "n", "at", F.coalesce("root", "sid").alias("root"))
@@ -226,7 +266,7 @@ def similar_sets(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tup
     other = apart.select("key", F.col("sid").alias("sid2"), F.col("n").alias("n2"), F.col("at").alias("at2"), F.col("root").alias("root2"))
     second = apart.join(other, "key").where((F.col("sid") < F.col("sid2")) & (F.col("root") != F.col("root2")) & fits)
     second = ordered(second.select(F.col("sid").alias("u"), F.col("sid2").alias("v"))).join(first, ["u", "v"], "left_anti")
-    more = materialise(_verified(docs, k, materialise(second, "jaccard-pairs"), percent), "jaccard-links")
+    more = materialise(_verified(docs, k, _possible(told, materialise(second, "jaccard-pairs"), percent), percent), "jaccard-links")
     return rows, (components(links.union(more)) if more.limit(1).count() else found)
 
 
