@@ -6,9 +6,11 @@ subset's smallest set links with all others that qualify and no list is ever pai
 scans inverted lists: it looks up the shortest prefix of its shingles, rare ones first, that a partner
 cannot miss. B is the size at which the cost of both ways, over the measured sizes, is least.
 
-Equal sets are one vertex from the start. Inverted lists are scanned in two rounds. In the first each
-member meets only its list's leader; members that then are in one component need no further test with
-each other, so the second round pairs only what is still apart. Pairs are checked exactly.
+Equal sets are one vertex from the start. Inverted lists are scanned in rounds. In a round each member
+meets only its list's leader, another one each time; members that then are in one component need no
+further test with each other. When little is left apart, or after STAR_ROUNDS, the last round pairs
+all that is still apart, so no link is lost: it scans each list, block against block, and emits only
+pairs that their sizes, positions and counts leave possible. Pairs are checked exactly.
 
 Cases: null text, empty text and text without words give an empty set, which links with nothing;
 repeated rows share a vertex; a null id keeps its row; long texts are handled in bounded blocks.
@@ -16,9 +18,10 @@ repeated rows share a vertex; a null id keeps its row; long texts are handled in
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from itertools import combinations
-from math import ceil, comb
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +34,12 @@ from klangwerk.llm.store import bloom, in_bloom, materialise, table
 
 WORDS = 4
 PERCENT = 85
-#: Shingles told to all tasks as frequent. They only come last in the order of a set: leaving one out
-#: makes a list longer, never a result different.
-FREQUENT = 200_000
-FREQUENT_A_TASK = 20_000
+#: Buckets of the sketch of document frequencies that orders the shingles of a set, rare ones first. Any
+#: order gives the same links: a coarse one, as on very many shingles, only makes lists longer.
+SKETCH_BITS = 22
+STAR_ROUNDS = 4
+#: Sets of a list that one task compares with each other; longer lists are dealt out by pairs of blocks.
+LIST_BLOCK = 1024
 
 
 def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], np.ndarray]]:
@@ -54,39 +59,58 @@ def _batch(schema: str, *columns) -> pa.RecordBatch:
 
 
 def set_table(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, sid, n, counts) of every document, and per task a row (null, shingle, count) of its frequent shingles.
+    """(doc_id, sid, n, counts) of every document; and (part, sketch) rows: frequencies by shingle bucket, of a task.
 
     counts: how many shingles fall to each of 256 ranges of hashes, 255 at most; two sets share no more
     than the sum of the lesser counts, so it tells most candidates that can't link at 256 bytes a set.
     """
+    cut = 1 << (SKETCH_BITS - 6)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen_h, seen_n, pending = np.zeros(0, np.uint64), np.zeros(0, np.int64), []
+        total, pending = np.zeros(1 << SKETCH_BITS, np.uint32), []
+
+        def add() -> None:
+            nonlocal total, pending
+            if pending:
+                total += np.bincount(np.concatenate(pending), minlength=1 << SKETCH_BITS).astype(np.uint32)
+            pending = []
+
         for batch in batches:
             for part, sets, ids in _sets(batch, k):
                 n = np.array([len(x) for x in sets], np.int64)
                 counts = tk.binaries([np.minimum(np.bincount((x >> np.uint64(56)).astype(np.int64), minlength=256), 255).astype(np.uint8).tobytes() if len(x) else None for x in sets])
-                yield _batch("doc_id sid n freq counts", part.column("doc_id").cast(pa.int64()), ids, n, np.zeros(len(n), bool), counts)
-                pending.append(np.concatenate(sets) if sets else np.zeros(0, np.uint64))
-                if sum(map(len, pending)) > 1 << 20:
-                    seen_h, seen_n = _merge(seen_h, seen_n, pending)
-                    pending = []
-        seen_h, seen_n = _merge(seen_h, seen_n, pending)
-        yield _batch("doc_id sid n freq counts", pa.nulls(len(seen_h), pa.int64()), seen_h.view(np.int64), seen_n, np.ones(len(seen_h), bool), pa.nulls(len(seen_h), pa.binary()))
+                none = pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())
+                yield _batch("doc_id sid n counts part sketch", part.column("doc_id").cast(pa.int64()), ids, n, counts, *none)
+                pending += [(x >> np.uint64(64 - SKETCH_BITS)).astype(np.int32) for x in sets]
+                if sum(map(len, pending)) > 1 << 21:
+                    add()
+        add()
+        if total.any():
+            none = pa.nulls(64, pa.int64()), pa.nulls(64, pa.int64()), pa.nulls(64, pa.int64()), pa.nulls(64, pa.binary())
+            parts = [zlib.compress(total[i * cut : (i + 1) * cut].tobytes(), 1) for i in range(64)]
+            yield _batch("doc_id sid n counts part sketch", *none, pa.array(range(64), pa.int32()), tk.binaries(parts))
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, sid long, n long, counts binary, part int, sketch binary")
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, sid long, n long, freq boolean, counts binary")
 
+def frequencies(told: DataFrame) -> np.ndarray:
+    """The sum of the tasks' sketches on a log scale, two bytes a bucket. Summed in 64 parts on executors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, raw in zip(batch.column("part").to_pylist(), batch.column("sketch")):
+                x = np.frombuffer(zlib.decompress(raw.as_buffer()), np.uint32)
+                sums[part] = sums.get(part, 0) + x.astype(np.uint64)
+        logs = {k: np.round(np.log2(v + 1.0) * 1000).astype(np.uint16) for k, v in sums.items()}
+        yield _batch("part sketch", pa.array(list(logs), pa.int32()), tk.binaries([x.tobytes() for x in logs.values()]))
 
-def _merge(h: np.ndarray, n: np.ndarray, pending: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    if pending:
-        new, counts = np.unique(np.concatenate(pending), return_counts=True)
-        often = counts > 1
-        h, back = np.unique(np.concatenate([h, new[often]]), return_inverse=True)
-        n = np.bincount(back, weights=np.concatenate([n, counts[often]]), minlength=len(h)).astype(np.int64)
-    if len(h) > FREQUENT_A_TASK:
-        top = np.sort(np.argpartition(-n, FREQUENT_A_TASK)[:FREQUENT_A_TASK])
-        h, n = h[top], n[top]
-    return h, n
+    out = np.zeros(1 << SKETCH_BITS, np.uint16)
+    cut = 1 << (SKETCH_BITS - 6)
+    summed = told.where("part is not null").select("part", "sketch").repartition(64, "part").mapInArrow(run, "part int, sketch binary")
+    for r in summed.toLocalIterator():
+        out[r["part"] * cut : (r["part"] + 1) * cut] = np.frombuffer(r["sketch"], np.uint16)
+    return out
 
 
 def prefix_length(n: np.ndarray | int, percent: int):
@@ -108,10 +132,8 @@ def boundary(histogram: dict[int, int], percent: int, limit: int = 24) -> int:
     return min(range(0, limit + 1), key=lambda b: (cost(b), b))
 
 
-def _prefixes(docs: DataFrame, k: int, percent: int, light: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def _prefixes(docs: DataFrame, k: int, percent: int, light: int, frequent: np.ndarray) -> DataFrame:
     """(key, sid, n, at): subset keys of light sets (at = c) and prefix shingles of heavy ones (at = -position - 1)."""
-    often_h, often_n = frequent
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, sets, ids in _sets(batch, k):
@@ -137,8 +159,7 @@ def _prefixes(docs: DataFrame, k: int, percent: int, light: int, frequent: tuple
                             sub = np.array([(total - g) & (2**64 - 1) for g in gone], np.uint64)
                             put(tk.mix(sub + np.uint64(c * 0xA0761D6478BD642F & 2**64 - 1)), i, np.full(len(sub), c, np.int64))
                     if n * 100 >= (light + 1) * percent:
-                        spot = np.minimum(np.searchsorted(often_h, x), max(0, len(often_h) - 1))
-                        weight = np.where(often_h[spot] == x, often_n[spot], 0) if len(often_h) else np.zeros(n, np.int64)
+                        weight = frequent[(x >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
                         order = np.lexsort((x, weight))[: prefix_length(n, percent)]
                         put(x[order], i, -np.arange(len(order), dtype=np.int64) - 1)
                 if keys:
@@ -189,26 +210,29 @@ def _possible(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return materialise(met.select("u", "v", "n", "n2", "a", "b").mapInArrow(run, "u long, v long"), "jaccard-possible")
 
 
-def _crowded(scans: DataFrame) -> DataFrame:
-    """The entries of lists with more than one set, with their list's leader f (the smallest set)."""
-    leader = scans.groupBy("key").agg(F.min("sid").alias("f"), F.max("sid").alias("other")).where("f <> other").select("key", "f")
-    leader = materialise(leader, "jaccard-leaders")
-    words = bloom(leader, "key", leader.count())
+def _only(df: DataFrame, column: str, words: np.ndarray) -> DataFrame:
+    """The rows that a Bloom filter of the column's wanted values lets through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(in_bloom(words, batch.column("key").to_numpy().view(np.uint64))))
+            yield batch.filter(pa.array(in_bloom(words, batch.column(column).to_numpy().view(np.uint64))))
+
+    return df.mapInArrow(run, df.schema)
+
 
-    near = scans.mapInArrow(run, scans.schema).distinct().join(leader, "key")
-    return materialise(near, "jaccard-crowded")
+def _crowded(scans: DataFrame) -> DataFrame:
+    """The entries of lists with more than one set."""
+    keys = scans.groupBy("key").agg(F.min("sid").alias("a"), F.max("sid").alias("b")).where("a <> b").select("key")
+    keys = materialise(keys, "jaccard-keys")
+    return materialise(_only(scans, "key", bloom(keys, "key", keys.count())).distinct().join(keys, "key"), "jaccard-crowded")
 
 
-def _verified(docs: DataFrame, k: int, pairs: DataFrame, percent: int) -> DataFrame:
+def _verified(members: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) whose sets are similar enough, by exact intersection; only sets in pairs are sent."""
-    wanted = materialise(pairs.select(F.explode(F.array("u", "v")).alias("sid")).distinct(), "jaccard-wanted")
-    members = materialise(_texts_of(docs, k, wanted), "jaccard-members")
-    both = pairs.join(members.select(F.col("sid").alias("u"), F.col("members").alias("a")), "u").join(
-        members.select(F.col("sid").alias("v"), F.col("members").alias("b")), "v"
+    wanted = pairs.select(F.explode(F.array("u", "v")).alias("sid")).distinct()
+    near = _only(members, "sid", bloom(wanted, "sid", 2 * pairs.count()))
+    both = pairs.join(near.select(F.col("sid").alias("u"), F.col("members").alias("a")), "u").join(
+        near.select(F.col("sid").alias("v"), F.col("members").alias("b")), "v"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,23 +251,89 @@ def _verified(docs: DataFrame, k: int, pairs: DataFrame, percent: int) -> DataFr
     return both.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
+def _scan(apart: DataFrame, size: DataFrame, sets: DataFrame, light: int, percent: int) -> DataFrame:
+    """Pairs (u, v) of a list and of different components that may link; lists are compared in memory, by blocks."""
+    wanted = apart.select("sid").distinct()
+    counts = sets.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.first("counts").alias("counts"))
+    blocks = F.ceil(F.col("k") / F.lit(LIST_BLOCK)).cast("int")
+    met = apart.join(size.select("key", blocks.alias("blocks")), "key").join(counts, "sid")
+    own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
+    met = met.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "sid", "n", "at", "root", "counts")
+
+    def pairs(t: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Of one group: rows that may link, the first in block i and the second in block j."""
+        left, right = np.flatnonzero(t["own"] == t["i"]), np.flatnonzero(t["own"] == t["j"])
+        out_u, out_v = [], []
+        for a in range(0, len(left), 64):
+            x, y = left[a : a + 64][:, None], right[None, :]
+            n, n2, at, at2 = t["n"][x], t["n"][y], t["at"][x], t["at"][y]
+            most = np.minimum(n + at, n2 + at2) + np.minimum(-at, -at2)
+            ok = (t["root"][x] != t["root"][y]) & ((n > light) | (n2 > light)) & (100 * most >= percent * (n + n2 - most))
+            ok &= (x < y) if t["i"][0] == t["j"][0] else True
+            for r, c in _rows(ok):
+                p, q = left[a + r], right[c]
+                share, full = np.minimum(t["counts"][p], t["counts"][q]), (t["counts"][p] == 255) & (t["counts"][q] == 255)
+                most = share.sum(axis=1, dtype=np.int64)
+                keep = full.any(axis=1) | (100 * most >= percent * (t["n"][p] + t["n"][q] - most))
+                out_u.append(t["sid"][p[keep]])
+                out_v.append(t["sid"][q[keep]])
+        none = np.zeros(0, np.int64)
+        return np.concatenate([none, *out_u]), np.concatenate([none, *out_v])
+
+    names = ["own", "i", "j", "sid", "n", "at", "root"]
+
+    def table_of(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
+        t = {c: batch.column(c).to_numpy() for c in ("key", *names)}
+        raw = b"".join(x.as_py() for x in batch.column("counts"))
+        return t | {"counts": np.frombuffer(raw, np.uint8).reshape(-1, 256)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            t = table_of(batch)
+            if held is not None:
+                t = {c: np.concatenate([held[c], t[c]]) for c in t}
+            change = np.flatnonzero((np.diff(t["key"]) != 0) | (np.diff(t["i"]) != 0) | (np.diff(t["j"]) != 0)) + 1
+            cuts = np.concatenate([[0], change])
+            for b, e in zip(cuts[:-1], cuts[1:]):
+                if e - b > 1:
+                    u, v = pairs({c: t[c][b:e] for c in t})
+                    if len(u):
+                        yield _batch("u v", np.minimum(u, v), np.maximum(u, v))
+            held = {c: t[c][cuts[-1] :] for c in t}
+        if held is not None and len(held["key"]) > 1:
+            u, v = pairs(held)
+            yield _batch("u v", np.minimum(u, v), np.maximum(u, v))
+
+    dealt = met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "sid")
+    return dealt.mapInArrow(run, "u long, v long").distinct()
+
+
+def _rows(ok: np.ndarray, most: int = 1 << 15) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The true cells of a matrix, so many at a time."""
+    r, c = np.nonzero(ok)
+    for i in range(0, len(r), most):
+        yield r[i : i + most], c[i : i + most]
+
+
 def similar_sets(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(doc_id, sid, n) of every document, and (u, root): components of linked set ids."""
     told = materialise(set_table(docs, k), "jaccard-sets")
-    sets = told.where("not freq")
+    sets = told.where("part is null")
     rows = sets.select("doc_id", "sid", "n")
-    often = told.where("freq").groupBy("sid").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "sid").limit(FREQUENT).toArrow()
-    order = np.argsort(often["sid"].to_numpy().view(np.uint64)) if often.num_rows else np.zeros(0, np.int64)
-    frequent = (often["sid"].to_numpy()[order].view(np.uint64), often["n"].to_numpy()[order])
     histogram = {r["n"]: r["count"] for r in rows.where("n > 0 and n <= 64").groupBy("n").count().collect()}
     light = boundary(histogram, percent)
 
-    lists = materialise(_prefixes(docs, k, percent, light, frequent), "jaccard-lists")
+    lists = materialise(_prefixes(docs, k, percent, light, frequencies(told)), "jaccard-lists")
     # a subset's smallest set needs the least overlap with every other: pairing with it loses no link
     subsets = lists.where("at > 0").groupBy("key", "at").agg(F.min(F.struct("n", "sid")).alias("f"), F.min("sid").alias("a"), F.max("sid").alias("b")).where("a <> b")
     light_links = lists.where("at > 0").join(subsets.select("key", "at", "f"), ["key", "at"]).where(
         (F.col("sid") != F.col("f.sid")) & (F.col("at") >= _needed(F.col("n"), F.col("f.n"), percent))
     ).select(F.col("f.sid").alias("u"), F.col("sid").alias("v"))
+    links = materialise(light_links.distinct(), "jaccard-links")
 
     near = (F.col("n") * 100 >= F.col("n2") * percent) & (F.col("n2") * 100 >= F.col("n") * percent)
     heavy = (F.col("n") > light) | (F.col("n2") > light)
@@ -252,22 +342,36 @@ def similar_sets(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tup
     others = F.least(-F.col("at"), -F.col("at2")) - 1
     fits = near & heavy & (rest + others >= _needed(F.col("n"), F.col("n2"), percent))
     crowded = _crowded(lists.where("at < 0"))
-    heads = crowded.where("sid = f").select("key", F.col("sid").alias("u"), F.col("n").alias("n2"), F.col("at").alias("at2"))
-    led = crowded.where("sid <> f").join(heads, "key").withColumnRenamed("sid", "v")
-    ordered = lambda p: p.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    first = materialise(ordered(led.where(fits)), "jaccard-pairs")
-    links = materialise(_verified(docs, k, _possible(told, first, percent), percent).union(light_links).distinct(), "jaccard-links")
-
+    members = materialise(_texts_of(docs, k, materialise(crowded.select("sid").distinct(), "jaccard-wanted")), "jaccard-members")
     found = components(links)
-    known = crowded.join(found, crowded["sid"] == found["u"], "left").select("key", "sid", "n", "at", F.coalesce("root", "sid").alias("root"))
-    known = materialise(known, "jaccard-known")
-    split = known.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
-    apart = known.join(split, "key")
-    other = apart.select("key", F.col("sid").alias("sid2"), F.col("n").alias("n2"), F.col("at").alias("at2"), F.col("root").alias("root2"))
-    second = apart.join(other, "key").where((F.col("sid") < F.col("sid2")) & (F.col("root") != F.col("root2")) & fits)
-    second = ordered(second.select(F.col("sid").alias("u"), F.col("sid2").alias("v"))).join(first, ["u", "v"], "left_anti")
-    more = materialise(_verified(docs, k, _possible(told, materialise(second, "jaccard-pairs"), percent), percent), "jaccard-links")
-    return rows, (components(links.union(more)) if more.limit(1).count() else found)
+    tested = None
+    for star in range(STAR_ROUNDS + 1):
+        known = crowded.join(found, crowded["sid"] == found["u"], "left").select("key", "sid", "n", "at", F.coalesce("root", "sid").alias("root"))
+        split = known.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
+        apart = materialise(known.join(split, "key"), "jaccard-apart")
+        size = apart.groupBy("key", "root").count().groupBy("key").agg(F.sum("count").alias("k"), F.sum(F.col("count") * F.col("count")).alias("s"))
+        left = size.agg(F.sum((F.col("k") * F.col("k") - F.col("s")) / 2), F.sum("k")).first()
+        if not left[0]:
+            break
+        last = star == STAR_ROUNDS or (star > 0 and left[0] <= 20 * left[1])
+        if last:
+            pairs = _scan(apart, size, sets, light, percent)
+        else:
+            turn = F.struct(F.xxhash64("sid", F.lit(star)).alias("turn"), "sid", "n", "at", "root")
+            head = apart.groupBy("key").agg(F.min(turn).alias("h")).select("key", *[F.col(f"h.{a}").alias(b) for a, b in (("sid", "sid2"), ("n", "n2"), ("at", "at2"), ("root", "root2"))])
+            pairs = apart.join(head, "key").where((F.col("root") != F.col("root2")) & fits)
+            pairs = pairs.select(F.least("sid", "sid2").alias("u"), F.greatest("sid", "sid2").alias("v")).distinct()
+        if tested is not None:
+            pairs = pairs.join(tested, ["u", "v"], "left_anti")
+        pairs = materialise(pairs, "jaccard-pairs")
+        tested = pairs if tested is None else tested.union(pairs)
+        new = materialise(_verified(members, _possible(sets, pairs, percent), percent), "jaccard-links")
+        if new.limit(1).count():
+            links = links.union(new)
+            found = components(links)
+        if last:
+            break
+    return rows, found
 
 
 def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id") -> DataFrame:
