@@ -37,7 +37,7 @@ PERCENT = 85
 #: Buckets of the sketch of document frequencies that orders the shingles of a set, rare ones first. Any
 #: order gives the same links: a coarse one, as on very many shingles, only makes lists longer.
 SKETCH_BITS = 22
-STAR_ROUNDS = 4
+STAR_ROUNDS = 2
 #: Sets of a list that one task compares with each other; longer lists are dealt out by pairs of blocks.
 LIST_BLOCK = 1024
 
@@ -227,10 +227,10 @@ def _crowded(scans: DataFrame) -> DataFrame:
     return materialise(_only(scans, "key", bloom(keys, "key", keys.count())).distinct().join(keys, "key"), "jaccard-crowded")
 
 
-def _verified(members: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+def _verified(docs: DataFrame, k: int, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) whose sets are similar enough, by exact intersection; only sets in pairs are sent."""
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("sid")).distinct()
-    near = _only(members, "sid", bloom(wanted, "sid", 2 * pairs.count()))
+    wanted = materialise(pairs.select(F.explode(F.array("u", "v")).alias("sid")).distinct(), "jaccard-wanted")
+    near = materialise(_texts_of(docs, k, wanted), "jaccard-members")
     both = pairs.join(near.select(F.col("sid").alias("u"), F.col("members").alias("a")), "u").join(
         near.select(F.col("sid").alias("v"), F.col("members").alias("b")), "v"
     )
@@ -342,7 +342,6 @@ def similar_sets(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tup
     others = F.least(-F.col("at"), -F.col("at2")) - 1
     fits = near & heavy & (rest + others >= _needed(F.col("n"), F.col("n2"), percent))
     crowded = _crowded(lists.where("at < 0"))
-    members = materialise(_texts_of(docs, k, materialise(crowded.select("sid").distinct(), "jaccard-wanted")), "jaccard-members")
     found = components(links)
     tested = None
     for star in range(STAR_ROUNDS + 1):
@@ -365,7 +364,7 @@ def similar_sets(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tup
             pairs = pairs.join(tested, ["u", "v"], "left_anti")
         pairs = materialise(pairs, "jaccard-pairs")
         tested = pairs if tested is None else tested.union(pairs)
-        new = materialise(_verified(members, _possible(sets, pairs, percent), percent), "jaccard-links")
+        new = materialise(_verified(docs, k, _possible(sets, pairs, percent), percent), "jaccard-links")
         if new.limit(1).count():
             links = links.union(new)
             found = components(links)
