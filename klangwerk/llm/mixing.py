@@ -84,30 +84,36 @@ def _thresholds(docs: DataFrame, plan: DataFrame) -> DataFrame:
     return state.withColumn("cut", F.col("base") + F.when(F.col("left") * 2 >= F.col("edge_size"), 1).otherwise(0))
 
 
-def mix(
-    docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, id_col: str = "doc_id"
-) -> DataFrame:
-    """(id, size, source, source_size, target, taken) of every document."""
-    sized = materialise(
-        docs.select(
-            F.col(id_col).alias("doc_id"), F.col("source").alias("source"), word_count(F.col("text")).alias("size"),
-            F.xxhash64(F.lit(8), F.col(id_col), F.col("text")).alias("hash"),
-        ),
-        "mix-sizes",
-    )
-    sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    plan = targets(sizes, weights, share, cap)
+def _hash(id_col: str) -> Column:
+    return F.xxhash64(F.lit(8), F.col(id_col), F.col("text"))
+
+
+def cuts(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, id_col: str = "doc_id") -> DataFrame:
+    """A row a source: s (the source), source_size, target, full copies, what is left, and the hash threshold for it."""
+    sized = docs.select("source", word_count(F.col("text")).alias("size"), _hash(id_col).alias("hash"))
+    sized = materialise(sized, "mix-sizes")
+    plan = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap)
     ratio = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     plan = materialise(
         plan.withColumn("full", ratio.cast("long")).withColumn("extra", F.col("target") - F.col("full") * F.col("source_size")),
         "mix-plan",
     )
-    cuts = _thresholds(sized, plan).select(F.col("source").alias("s"), "source_size", "target", "full", "extra", "cut")
-    cuts = materialise(cuts, "mix-cuts")
-    once_more = (F.col("extra") > 0) & (F.shiftrightunsigned("hash", 64 - sum(LEVEL_BITS)) < F.col("cut"))
-    return sized.join(cuts, F.col("source").eqNullSafe(F.col("s"))).select(
+    return materialise(_thresholds(sized, plan).select(F.col("source").alias("s"), "source_size", "target", "full", "extra", "cut"), "mix-cuts")
+
+
+def mix(
+    docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP, id_col: str = "doc_id", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """(doc_id, size, source_size, target, taken, source) of every document, and the columns in keep.
+
+    Documents are read again and filtered in place: what is joined to them is a row a source.
+    """
+    of = cuts(docs, weights, share, cap, id_col)
+    once_more = (F.col("extra") > 0) & (F.shiftrightunsigned("hash__", 64 - sum(LEVEL_BITS)) < F.col("cut"))
+    base = docs.select(F.col(id_col).alias("doc_id"), "source", word_count(F.col("text")).alias("size"), _hash(id_col).alias("hash__"), *keep)
+    return base.join(of, F.col("source").eqNullSafe(F.col("s"))).select(
         "doc_id", "size", "source_size", "target",
-        (F.col("size") * (F.col("full") + once_more.cast("long"))).alias("taken"), "source",
+        (F.col("size") * (F.col("full") + once_more.cast("long"))).alias("taken"), "source", *keep,
     )
 
 
