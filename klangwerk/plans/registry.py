@@ -1,4 +1,370 @@
-"""Named queries over the driver's tables and their SQL counterparts."""
+"""Named queries over the driver's tables and their SQL counterparts.
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+The tables hold no pronunciations, so a lexicon is derived: words of documents (es is taken as tr to
+exercise Turkish casing, fr is outside the release), and a toy engine that spells ASCII words in IPA.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from klangwerk.functions import codec
+from klangwerk.functions import headwords as hw
+from klangwerk.functions import inventory as inv
+from klangwerk.functions import pronunciations as pr
+from klangwerk.functions import tokens as tk
+from klangwerk.operators import audit, index, legacy, prepare, validate
+from klangwerk.sources import dumps
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def _query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def _lang(c: Column) -> Column:
+    return F.when(c == "es", "tr").otherwise(c)
+
+
+def words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(lang, doc_id, word) of every word of the documents in a release language."""
+    docs = _documents(spark, sf_dir).select("doc_id", _lang(F.col("lang")).alias("lang"), "text")
+    docs = docs.where(F.col("lang").isin(*inv.LANGUAGES))
+    return docs.select("lang", "doc_id", F.explode(F.split("text", "[ \n]+")).alias("word")).where("word <> ''")
+
+
+def spelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(lang, source, word, ipa): distinct ASCII words in the toy engine's IPA."""
+    found = words(spark, sf_dir).where(F.col("word").rlike("^[A-Za-z]{2,}$")).select("lang", F.lower("word").alias("word")).distinct()
+    return found.select("lang", F.lit("wiktionary").alias("source"), "word", _toy(F.col("word")).alias("ipa"))
+
+
+def _toy(w: Column) -> Column:
+    return F.concat(F.lit("/ˈ"), F.replace(F.translate(w, "iu", "ɪʊ"), F.lit("ch"), F.lit("tʃ")), F.lit("/"))
+
+
+def _by_lang(f: Callable[[str], Column]) -> Column:
+    return F.coalesce(*[F.when(F.col("lang") == lang, f(lang)) for lang in inv.LANGUAGES])
+
+
+def _tokens() -> Column:
+    return _by_lang(lambda lang: tk.tokens(F.col("ipa"), lang, normalised=True))
+
+
+# Shared pieces of the SQL side.
+_LETTERS = inv.HEADWORD_LETTERS + "0-9"
+_WORDS = """words AS (
+  SELECT lang, doc_id, word FROM (
+    SELECT CASE WHEN lang = 'es' THEN 'tr' ELSE lang END AS lang, doc_id, unnest(regexp_split_to_array(text, '[ \\n]+')) AS word FROM documents)
+  WHERE lang IN ('en', 'de', 'tr') AND word <> '')"""
+_SPELLED = f"""{_WORDS},
+spelled AS (
+  SELECT lang, word, '/ˈ' || replace(translate(word, 'iu', 'ɪʊ'), 'ch', 'tʃ') || '/' AS ipa
+  FROM (SELECT DISTINCT lang, lower(word) AS word FROM words WHERE regexp_matches(word, '^[A-Za-z]{{2,}}$')))"""
+_TOKENS = f"""{_SPELLED},
+sounds AS (
+  SELECT lang, word, ipa, regexp_extract_all(ipa[3:length(ipa) - 1], CASE lang
+    WHEN 'en' THEN 'aɪ|aʊ|eɪ|oʊ|tʃ|.' WHEN 'de' THEN 'aɪ|aʊ|ʊɪ|tʃ|pf|ts|.' ELSE 'tʃ|.' END) AS t FROM spelled),
+keyed AS (
+  SELECT lang, word, ipa, t, array_to_string(list_reverse(list_concat(['/', 'ˈ' || t[1]], t[2:], ['/'])), ' ') AS key,
+    array_to_string(list_filter(list_reverse(t), lambda x: regexp_matches(x, '^[aeɪoʊy]')), ' ') AS assonance FROM sounds)"""
+_CLASSIFIED = f"""{_WORDS},
+headwords AS (
+  SELECT lang, doc_id, word, CASE
+    WHEN regexp_matches(replace(word, '.', ''), '^\\p{{L}}{{2,}}$') AND upper(replace(word, '.', '')) = replace(word, '.', '') AND NOT regexp_matches(word, '[\\p{{Ll}}\\p{{Lt}}ßªº]') AND regexp_matches(word, '\\p{{Lu}}') THEN 'uppercase_abbreviation'
+    WHEN regexp_matches(translate(word, '’‘ʼ‐‑‒–—−', '''''''------'), '[^{_LETTERS}]') THEN 'disallowed_headword_characters'
+    WHEN length(word) = 1 AND NOT regexp_matches(word, '[0-9]') THEN 'single_letter_headword' END AS reason,
+    lower(CASE WHEN lang = 'tr' THEN translate(word, 'Iİ', 'ıi') ELSE word END) AS headword FROM words)"""
+
+
+@_query("""SELECT CASE WHEN lang = 'es' THEN 'tr' ELSE lang END AS lang, lang IN ('en', 'de', 'es') AS selected, count(*) AS records
+FROM documents GROUP BY 1, 2""")
+def language_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select(_lang(F.col("lang")).alias("lang"))
+    return docs.groupBy("lang", F.col("lang").isin(*inv.LANGUAGES).alias("selected")).agg(F.count("*").alias("records"))
+
+
+def _dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as lines of a dump: every tenth is cut short, every eleventh is no object."""
+    sound = F.array(F.struct(F.when(F.col("doc_id") % 3 == 0, "?").otherwise(F.concat(F.lit("/ˈ"), F.col("source"), F.lit("/"))).alias("ipa")))
+    entry = F.to_json(F.struct(F.col("source").alias("word"), _lang(F.col("lang")).alias("lang_code"), F.when(F.col("doc_id") % 2 == 0, sound).alias("sounds")))
+    line = F.when(F.col("doc_id") % 10 == 0, "{").when(F.col("doc_id") % 11 == 0, "[1]").otherwise(entry)
+    return _documents(spark, sf_dir).select(F.lit(0).alias("archive"), F.col("doc_id").alias("line"), line.alias("value"), F.lit(True).alias("valid"))
+
+
+@_query("""SELECT count(*) AS records_read, count(*) FILTER (doc_id % 10 = 0) AS bad_json_records,
+  count(*) FILTER (doc_id % 10 <> 0 AND doc_id % 11 = 0) AS invalid_records,
+  count(*) FILTER (doc_id % 10 <> 0 AND doc_id % 11 <> 0 AND lang IN ('en', 'de', 'es')) AS selected_records FROM documents""")
+def ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dumps.ingest_counts(dumps.parse(_dump(spark, sf_dir)))
+
+
+@_query("""SELECT CASE WHEN lang = 'es' THEN 'tr' ELSE lang END AS lang, doc_id % 2 = 0 AS has_ipa, count(*) AS records FROM documents
+WHERE doc_id % 10 <> 0 AND doc_id % 11 <> 0 AND lang IN ('en', 'de', 'es') GROUP BY 1, 2""")
+def ipa_presence_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dumps.raw_entries(dumps.parse(_dump(spark, sf_dir))).groupBy("lang", "has_ipa").agg(F.count("*").alias("records"))
+
+
+@_query("""SELECT doc_id % 3 <> 0 AS usable, count(*) AS fields FROM documents
+WHERE doc_id % 10 <> 0 AND doc_id % 11 <> 0 AND doc_id % 2 = 0 AND lang IN ('en', 'de', 'es') GROUP BY 1""")
+def placeholder_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = dumps.raw_entries(dumps.parse(_dump(spark, sf_dir))).select(F.explode("fields").alias("f"))
+    return fields.groupBy((F.col("f.is_text") & pr.usable(F.col("f.value"))).alias("usable")).agg(F.count("*").alias("fields"))
+
+
+@_query(f"""WITH {_CLASSIFIED}
+SELECT lang, coalesce(reason, 'accepted') AS outcome, count(*) AS records, count(DISTINCT word) AS words FROM headwords GROUP BY 1, 2""")
+def headword_rejections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = words(spark, sf_dir).withColumn("h", hw.clean_headword(F.col("word"), F.col("lang"), normalised=True))
+    return told.groupBy("lang", F.coalesce("h.reason", F.lit("accepted")).alias("outcome")).agg(F.count("*").alias("records"), F.count_distinct("word").alias("words"))
+
+
+@_query(f"""WITH {_CLASSIFIED}
+SELECT lang, headword, count(*) AS records FROM headwords WHERE reason IS NULL GROUP BY 1, 2""")
+def headword_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = words(spark, sf_dir).withColumn("h", hw.clean_headword(F.col("word"), F.col("lang"), normalised=True))
+    return told.where("h.reason is null").groupBy("lang", F.col("h.word").alias("headword")).agg(F.count("*").alias("records"))
+
+
+@_query(f"""WITH {_WORDS}
+SELECT lang, character, count(*) AS occurrences FROM (
+  SELECT lang, unnest(regexp_extract_all(translate(word, '’‘ʼ‐‑‒–—−', '''''''------'), '[^{_LETTERS}]')) AS character FROM (SELECT DISTINCT lang, word FROM words))
+GROUP BY 1, 2""")
+def headword_invalid_chars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = words(spark, sf_dir).select("lang", "word").distinct().select("lang", F.explode(hw.invalid_characters(hw.translated(F.col("word")))).alias("c"))
+    return found.groupBy("lang", "c.character").agg(F.sum("c.count").alias("occurrences"))
+
+
+@_query(f"""WITH {_CLASSIFIED}
+SELECT headword, count(DISTINCT word) AS spellings FROM headwords WHERE lang = 'tr' AND reason IS NULL AND regexp_matches(word, '[Iıİi]') GROUP BY 1""")
+def turkish_casing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = words(spark, sf_dir).where((F.col("lang") == "tr") & F.col("word").rlike("[Iıİi]"))
+    told = own.withColumn("h", hw.clean_headword(F.col("word"), F.col("lang"), normalised=True)).where("h.reason is null")
+    return told.groupBy(F.col("h.word").alias("headword")).agg(F.count_distinct("word").alias("spellings"))
+
+
+def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each distinct word of a document as a raw entry; words of a length divisible by three have no field."""
+    own = words(spark, sf_dir).select("lang", "doc_id", "word").distinct()
+    field = F.struct(F.lit(True).alias("is_text"), _toy(F.lower("word")).alias("value"), F.lit(None).cast("string").alias("json"))
+    fields = F.when(F.length("word") % 3 != 0, F.array(field)).otherwise(F.array().cast("array<struct<is_text:boolean,value:string,json:string>>"))
+    return own.select("lang", (F.length("word") % 3 != 0).alias("has_ipa"), F.lit(0).alias("archive"), F.col("doc_id").alias("line"), "word", F.to_json(F.array("word")).alias("word_json"), fields.alias("fields"))
+
+
+@_query(f"""WITH {_CLASSIFIED}, e AS (SELECT DISTINCT lang, doc_id, word, reason, headword FROM headwords)
+SELECT lang, count(*) AS input, count(*) FILTER (reason IS NOT NULL) AS removed,
+  count(DISTINCT CASE WHEN reason IS NULL THEN headword END) AS retained,
+  count(*) FILTER (reason IS NULL) - count(DISTINCT CASE WHEN reason IS NULL THEN headword END) AS merged FROM e GROUP BY 1""")
+def merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prepare.counts(prepare.headwords(_entries(spark, sf_dir), normalised=True))
+
+
+@_query(f"""WITH {_CLASSIFIED}
+SELECT lang, headword AS word, min(CASE WHEN length(word) % 3 <> 0 THEN 0 ELSE 1 END) = 0 AS with_ipa,
+  coalesce(min(CASE WHEN length(word) % 3 <> 0 THEN doc_id END), min(doc_id)) AS first_line FROM headwords WHERE reason IS NULL GROUP BY 1, 2""")
+def wordlist_merge_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = prepare.headwords(_entries(spark, sf_dir), normalised=True).where("decision = 'retained'")
+    return kept.select("lang", F.col("headword").alias("word"), F.col("has_ipa").alias("with_ipa"), F.col("line").alias("first_line"))
+
+
+@_query(f"""WITH {_CLASSIFIED}
+SELECT lang, headword AS word FROM headwords WHERE reason IS NULL GROUP BY 1, 2 HAVING bool_and(length(word) % 3 = 0)""")
+def missing_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prepare.prepare(_entries(spark, sf_dir), normalised=True).missing
+
+
+@_query(f"""WITH {_WORDS}
+SELECT lang, count(DISTINCT w) AS words, count(DISTINCT CASE WHEN has THEN w END) AS with_ipa FROM (
+  SELECT lang, length(word) % 3 <> 0 AS has, CASE WHEN length(regexp_replace(word, '[^\\p{{Lu}}]', '', 'g')) < 2 THEN lower(word) ELSE word END AS w FROM words) GROUP BY 1""")
+def legacy_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed, rest = legacy.extract(_entries(spark, sf_dir), normalised=True)
+    both = listed.select("lang", "word", F.lit(1).alias("has")).union(rest.select("lang", "word", F.lit(0)))
+    return both.groupBy("lang").agg(F.count("*").alias("words"), F.sum("has").alias("with_ipa"))
+
+
+def _notations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w, kind = F.col("word"), F.length("word") % 7
+    field = (
+        F.when(kind == 0, F.concat(F.lit("/ˈ"), w, F.lit("/"))).when(kind == 1, F.concat(F.lit("/ˈ"), w, F.lit("~ˈ"), w, F.lit("n/")))
+        .when(kind == 2, F.concat(F.lit("/ˈ"), w, F.lit("-/"))).when(kind == 3, F.concat(F.lit("/ˈ"), w, F.lit("X/")))
+        .when(kind == 4, F.concat(F.lit("/ˈ"), w, F.lit("☃/"))).when(kind == 5, F.concat(F.lit("/ˈ"), w, F.lit("(n)/")))
+        .otherwise(F.concat(F.lit("ˈ"), w, F.lit(",ˈ"), w))
+    )
+    return spelled(spark, sf_dir).where(w.rlike("[aeo]")).select("lang", "word", field.alias("ipa"))
+
+
+_KINDS = f"""{_SPELLED}, n AS (SELECT lang, word, length(word) % 7 AS k FROM spelled WHERE regexp_matches(word, '[aeo]'))"""
+
+
+@_query(f"""WITH {_KINDS}
+SELECT lang, CASE k WHEN 2 THEN 'incomplete_pronunciation' WHEN 3 THEN 'mixed_uppercase_notation' WHEN 4 THEN 'unrecognized_tokens' ELSE 'ambiguous_comma_notation' END AS reason, count(*) AS rejects
+FROM n WHERE k IN (2, 3, 4, 6) GROUP BY 1, 2""")
+def pronunciation_rejections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = _notations(spark, sf_dir).select("lang", F.explode(pr.clean_pronunciation("ipa", "lang", F.lit("wiktionary"))["rejects"]).alias("r"))
+    return told.groupBy("lang", "r.reason").agg(F.count("*").alias("rejects"))
+
+
+@_query(f"""WITH {_KINDS}
+SELECT lang, word, unnest(CASE k WHEN 0 THEN ['/ˈ' || word || '/'] ELSE ['/ˈ' || word || '/', '/ˈ' || word || 'n/'] END) AS variant FROM n WHERE k IN (0, 1, 5)""")
+def clean_pronunciation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = _notations(spark, sf_dir).select("lang", "word", pr.clean_pronunciation("ipa", "lang", F.lit("wiktionary")).alias("c"))
+    return told.select("lang", "word", F.explode("c.valid").alias("variant"))
+
+
+@_query(f"""WITH {_TOKENS}
+SELECT lang, token, count(*) AS occurrences FROM (SELECT lang, unnest(list_concat(['ˈ'], t)) AS token FROM sounds) GROUP BY 1, 2""")
+def token_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelled(spark, sf_dir).select("lang", F.explode(_tokens()).alias("token")).groupBy("lang", "token").agg(F.count("*").alias("occurrences"))
+
+
+def _assonance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = _by_lang(lambda lang: tk.assonance_key(tk.tokens(F.col("ipa"), lang, normalised=True), lang))
+    return spelled(spark, sf_dir).select("lang", "word", keys.alias("assonance"))
+
+
+@_query(f"WITH {_TOKENS} SELECT lang, assonance, count(*) AS words, min(word) AS example FROM keyed GROUP BY 1, 2")
+def assonance_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _assonance(spark, sf_dir).groupBy("lang", "assonance").agg(F.count("*").alias("words"), F.min("word").alias("example"))
+
+
+@_query(f"""WITH {_TOKENS}, g AS (SELECT lang, assonance, count(*) AS words FROM keyed GROUP BY 1, 2)
+SELECT * FROM g ORDER BY words DESC, lang, assonance LIMIT 25""")
+def assonance_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = _assonance(spark, sf_dir).groupBy("lang", "assonance").agg(F.count("*").alias("words"))
+    return groups.orderBy(F.desc("words"), "lang", "assonance").limit(25)
+
+
+def _index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return index.build_index(spelled(spark, sf_dir))
+
+
+@_query(f"WITH {_TOKENS} SELECT lang, word, ipa, key AS ipa_reversed, assonance AS assonance_reversed FROM keyed")
+def rhyme_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _index(spark, sf_dir).select("lang", "word", "ipa", "ipa_reversed", "assonance_reversed")
+
+
+@_query(f"WITH {_SPELLED} SELECT lang, ipa AS restored, word FROM spelled")
+def restore_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _index(spark, sf_dir).select("lang", codec.restore(F.col("ipa_reversed")).alias("restored"), "word")
+
+
+@_query(f"WITH {_TOKENS} SELECT lang, word FROM keyed WHERE key = '/ t s' OR key LIKE '/ t s %' OR key = '/ n ɪ' OR key LIKE '/ n ɪ %'")
+def rhyme_prefix_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = _index(spark, sf_dir)
+    return index.rhymes(told, "t s").union(index.rhymes(told, "n ɪ")).select("lang", "word")
+
+
+@_query(f"""WITH {_TOKENS} SELECT lang, count(*) FILTER (key LIKE '/ ts %') AS affricate, count(*) FILTER (key LIKE '/ s t %') AS cluster FROM keyed GROUP BY 1""")
+def suffix_distinguishes_affricate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("ipa_reversed")
+    return _index(spark, sf_dir).groupBy("lang").agg(F.count_if(index.prefix(key, "/ ts")).alias("affricate"), F.count_if(index.prefix(key, "/ s t")).alias("cluster"))
+
+
+@_query(f"""WITH {_TOKENS}, f AS (SELECT lang, word, list_reverse(list_concat(['ˈ' || t[1]], t[2:])) AS f FROM keyed)
+SELECT lang, array_to_string(f[1:3], ' ') AS tail, count(DISTINCT word) AS words FROM f WHERE len(f) >= 3 GROUP BY 1, 2 HAVING count(DISTINCT word) > 1""")
+def rhyme_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return index.rhyme_groups(_index(spark, sf_dir), 3).where("words > 1")
+
+
+@_query(f"WITH {_TOKENS} SELECT lang, count(*) FILTER (NOT regexp_matches(ipa, '[aeɪoʊy]')) AS misplaced, count(*) AS words FROM keyed GROUP BY 1")
+def misplaced_stress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bad = _by_lang(lambda lang: tk.misplaced_stress(tk.tokens(F.col("ipa"), lang, normalised=True), lang))
+    return spelled(spark, sf_dir).groupBy("lang").agg(F.count_if(bad).alias("misplaced"), F.count("*").alias("words"))
+
+
+@_query(f"""WITH {_TOKENS}, v AS (SELECT lang, t, list_position(list_transform(t, lambda x: regexp_matches(x, '^[aeɪoʊy]')), true) AS p FROM sounds)
+SELECT lang, CASE WHEN p > 0 THEN array_to_string(t[p:], ' ') ELSE '' END AS tail, count(*) AS words FROM v GROUP BY 1, 2""")
+def rhyme_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tail = _by_lang(lambda lang: F.array_join(tk.rhyme_tail(tk.tokens(F.col("ipa"), lang, normalised=True), lang), " "))
+    return spelled(spark, sf_dir).groupBy("lang", tail.alias("tail")).agg(F.count("*").alias("words"))
+
+
+def _compared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turkish ASCII words with one letter a sound, against the same words spelled backwards."""
+    own = spelled(spark, sf_dir).where((F.col("lang") == "tr") & ~F.col("word").rlike("ch|hc|[iu]"))
+    told = own.withColumn("c", tk.compare(tk.tokens(F.col("ipa"), "tr", normalised=True), tk.tokens(_toy(F.reverse("word")), "tr", normalised=True), "tr"))
+    return told.select("word", "c.*", "c")
+
+
+_TR = f"{_SPELLED}, p AS (SELECT word, levenshtein(word, reverse(word)) AS d, length(word) AS n FROM spelled WHERE lang = 'tr' AND NOT regexp_matches(word, 'ch|hc|[iu]'))"
+
+
+@_query(f"WITH {_TR} SELECT word, CAST(d AS INTEGER) AS phoneme_edits, d / n AS phoneme_distance_ratio FROM p")
+def phoneme_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _compared(spark, sf_dir).select("word", "phoneme_edits", "phoneme_distance_ratio")
+
+
+@_query(f"WITH {_TR} SELECT d / n >= 0.8 AND d >= 4 AND n >= 5 AS extreme, count(*) AS words FROM p GROUP BY 1")
+def extreme_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _compared(spark, sf_dir).groupBy(tk.extreme(F.col("c")).alias("extreme")).agg(F.count("*").alias("words"))
+
+
+@_query(f"""WITH {_SPELLED}, p AS (SELECT word, levenshtein(word, reverse(word)) AS d, levenshtein(word, word || 'a') AS e, length(word) AS n FROM spelled WHERE lang = 'tr' AND NOT regexp_matches(word, 'ch|hc|[iu]') AND regexp_matches(word, '[aeoy]'))
+SELECT word, CASE WHEN d / n <= e / (n + 1) THEN '/ˈ' || reverse(word) || '/' ELSE '/ˈ' || word || 'a/' END AS closest FROM p WHERE d / n <> e / (n + 1)""")
+def closest_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = spelled(spark, sf_dir).where((F.col("lang") == "tr") & ~F.col("word").rlike("ch|hc|[iu]") & F.col("word").rlike("[aeoy]"))
+    other = own.select("lang", "word", F.explode(F.array(_toy(F.reverse("word")), _toy(F.concat("word", F.lit("a"))))).alias("ipa"))
+    best = validate.compare(own.select("lang", "word", "ipa"), other)
+    longest = F.greatest("wiktionary_phoneme_count", "espeak_phoneme_count")
+    tie = F.levenshtein("word", F.reverse("word")) / F.length("word") == F.lit(1) / (F.length("word") + 1)
+    return best.where(~tie & (longest > 0)).select("word", F.col("espeak_ipa").alias("closest"))
+
+
+@_query(f"""WITH {_TOKENS}
+SELECT lang, 'wiktionary' AS source, count(*) AS pronunciations, count(DISTINCT ipa) AS unique_ipa, CAST(sum(len(t) + 2) AS BIGINT) AS tokens FROM keyed GROUP BY 1""")
+def audit_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.totals(_index(spark, sf_dir)).drop("records_with_diagnostics")
+
+
+@_query()
+def diagnostics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = audit.diagnostics(_index(spark, sf_dir))
+    return found.select("lang", "reason", "spelling", "count", F.col("example.word").alias("word"), F.col("example.ipa").alias("ipa"))
+
+
+@_query(f"""WITH {_SPELLED} SELECT CASE WHEN length(word) % 2 = 0 THEN 'engine_exact_match' ELSE 'engine_spelling_differs' END AS evidence, count(*) AS words FROM spelled WHERE lang = 'de' GROUP BY 1""")
+def engine_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = F.array_join(F.split("ipa", ""), "_")
+    own = spelled(spark, sf_dir).where("lang = 'de'").withColumn("source", F.lit("espeak"))
+    own = own.withColumn("reference", F.when(F.length("word") % 2 == 0, fields).otherwise(F.concat(fields, F.lit("_x"))))
+    return index.build_index(own, strict=False).groupBy("evidence").agg(F.count("*").alias("words"))
+
+
+@_query(f"""WITH {_CLASSIFIED}, e AS (SELECT DISTINCT lang, doc_id, word, reason FROM headwords)
+SELECT lang, CASE WHEN reason IS NULL THEN 'kept' ELSE reason END AS outcome, count(*) AS records FROM e GROUP BY ROLLUP (1, 2)""")
+def reports_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = prepare.headwords(_entries(spark, sf_dir), normalised=True)
+    return told.select("lang", F.coalesce("reason", F.lit("kept")).alias("outcome")).rollup("lang", "outcome").agg(F.count("*").alias("records"))
+
+
+@_query(f"""WITH {_SPELLED} SELECT lang, 'misplaced_stress_mark' AS reason, count(*) AS repairs FROM spelled WHERE NOT regexp_matches(ipa, '[aeɪoʊy]') GROUP BY 1""")
+def repair_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    field = F.array(F.struct(F.lit(True).alias("is_text"), F.col("ipa").alias("value"), F.lit(None).cast("string").alias("json")))
+    raw = spelled(spark, sf_dir).select("lang", F.lit(True).alias("has_ipa"), F.lit(0).alias("archive"), F.lit(0).cast("long").alias("line"), "word", F.to_json(F.array("word")).alias("word_json"), field.alias("fields"))
+    return prepare.prepare(raw, normalised=True).repairs.groupBy("lang", "reason").agg(F.count("*").alias("repairs"))
+
+
+@_query(f"""WITH {_SPELLED} SELECT lang, count(*) FILTER (regexp_matches(ipa, '[aeɪoʊy]')) AS source_words, count(*) FILTER (NOT regexp_matches(ipa, '[aeɪoʊy]')) AS machine_words FROM spelled GROUP BY 1""")
+def eligible_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words without a nucleus are repaired by an engine that gives them one."""
+    own = spelled(spark, sf_dir).select("lang", "word", "ipa")
+    bad = own.where(~F.col("ipa").rlike("[aeɪoʊy]")).select("lang", "word", "ipa", F.lit("misplaced_stress_mark").alias("reason"))
+    fresh = bad.select("lang", "word", F.concat(F.lit("/ˈ"), F.lit("a/")).alias("ipa"))
+    v = validate.validate(own, own.limit(0), bad, fresh)
+    both = v.source.select("lang", F.lit(1).alias("s"), F.lit(0).alias("m")).union(v.machine.select("lang", F.lit(0), F.lit(1)))
+    return both.groupBy("lang").agg(F.sum("s").alias("source_words"), F.sum("m").alias("machine_words"))
