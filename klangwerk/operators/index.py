@@ -16,7 +16,9 @@ def build_index(pronunciations: DataFrame, strict: bool = True) -> DataFrame:
     strict: unknown symbols, no segment, or a key that does not restore its spelling are errors.
     """
     ref = F.col("reference") if "reference" in pronunciations.columns else F.lit(None).cast("string")
-    told = pronunciations.withColumn("a", codec.analysis("ipa", "lang", "source", ref))
+    # few bytes, much work: without a number of partitions these rows would be coalesced into a task
+    parts = int(pronunciations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    told = pronunciations.repartition(parts, "lang", "word").withColumn("a", codec.analysis("ipa", "lang", "source", ref))
     told = told.withColumn("ipa_reversed", F.col("a.key"))
     keys = F.coalesce(*[F.when(F.col("lang") == lang, tk.assonance_key(_normal(lang), lang)) for lang in inv.LANGUAGES])
     told = told.withColumn("assonance_reversed", keys)
