@@ -27,7 +27,7 @@ from klangwerk.llm.store import bloom, in_bloom, materialise, table
 
 LENGTH = 400
 GRAM = 32
-SHARD = 4 << 20
+SHARD = 1 << 20
 _PIECE = 4 << 20
 _POS = np.uint64(24)
 _LOW = np.uint64((1 << 24) - 1)

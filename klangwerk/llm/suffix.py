@@ -21,7 +21,7 @@ def suffix_array(text: np.ndarray, first: np.ndarray | None = None) -> np.ndarra
     if not n:
         return np.zeros(0, np.int64)
     key = heads(text) if first is None else first
-    sa = np.argsort(key, kind="stable")
+    sa = np.argsort(key)
     k = key[sa]
     lead = np.concatenate([[True], k[1:] != k[:-1]])
     at = np.maximum.accumulate(np.where(lead, np.arange(n), 0))
@@ -34,7 +34,7 @@ def suffix_array(text: np.ndarray, first: np.ndarray | None = None) -> np.ndarra
         ahead = i + h
         second = np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
         both = (rank[i].astype(np.uint64) << np.uint64(32)) | second.astype(np.uint64)
-        order = np.argsort(both, kind="stable")
+        order = np.argsort(both)
         both, i = both[order], i[order]
         sa[slots] = i
         lead = np.concatenate([[True], both[1:] != both[:-1]])
