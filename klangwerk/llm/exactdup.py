@@ -113,7 +113,7 @@ def _first_pass(docs: DataFrame, length: int) -> DataFrame:
 
 
 def _pieces(docs: DataFrame, length: int, words: np.ndarray) -> DataFrame:
-    """(key, print, rid, start, piece) of the runs of strings whose keys may occur more than once."""
+    """(key, print, rids, starts, piece) of the runs of strings whose keys may occur more than once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,12 +131,21 @@ def _pieces(docs: DataFrame, length: int, words: np.ndarray) -> DataFrame:
                 parts = [bytes(raw[x:y]) for x, y in zip(start[b], start[e] + length)]
                 prints = np.array([int.from_bytes(hashlib.blake2b(p, digest_size=8).digest(), "big") for p in parts], np.uint64)
                 r = row[b]
+                who, at = rid[rows[r]], start[b] - offsets[r] + base[r]
+                # equal pieces of a block go once, with all their places
+                k = key[b].view(np.int64)
+                order = np.lexsort((prints, k))
+                lead = np.ones(len(order), bool)
+                lead[1:] = (k[order][1:] != k[order][:-1]) | (prints[order][1:] != prints[order][:-1])
+                first = order[lead]
+                places = pa.array(np.append(np.flatnonzero(lead), len(order)).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(places, pa.array(x[order])) for x in (who, at)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[b].view(np.int64)), pa.array(prints.view(np.int64)), pa.array(rid[rows[r]]), pa.array(start[b] - offsets[r] + base[r]), tk.binaries(parts)],
-                    ["key", "print", "rid", "start", "piece"],
+                    [pa.array(k[first]), pa.array(prints[first].view(np.int64)), *lists, tk.binaries([parts[i] for i in first])],
+                    ["key", "print", "rids", "starts", "piece"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "key long, print long, rid long, start long, piece binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "key long, print long, rids array<long>, starts array<long>, piece binary")
 
 
 class _Shards:
@@ -199,13 +208,14 @@ def _spans(pieces: DataFrame, length: int) -> DataFrame:
         alone = True  # all pieces held have one key
         for batch in batches:
             out = []
-            for key, mark, rid, start, piece in zip(*(batch.column(c).to_pylist() for c in ("key", "print", "rid", "start", "piece"))):
+            for key, mark, rids, starts, piece in zip(*(batch.column(c).to_pylist() for c in ("key", "print", "rids", "starts", "piece"))):
+                places = [(r, s, s + len(piece)) for r, s in zip(rids, starts)]
                 if key == last_key and mark == last_print and len(piece) == len(shards.pieces[-1]):
                     if shards.at[-1] is not None:
                         r, s = shards.at[-1]
                         out.append((r, s, s + len(piece)))
                         shards.at[-1] = None
-                    out.append((rid, start, start + len(piece)))
+                    out += places
                     continue
                 if key != last_key and size > SHARD:
                     out += shards.take(alone)
@@ -213,11 +223,12 @@ def _spans(pieces: DataFrame, length: int) -> DataFrame:
                 elif last_key is not None and key != last_key and shards.pieces:
                     alone = False
                 shards.pieces.append(piece)
-                shards.at.append((rid, start))
+                shards.at.append(places[0][:2] if len(places) == 1 else None)
+                out += places if len(places) > 1 else []
                 size += len(piece)
                 last_key, last_print = key, mark
-            if out:
-                yield batch_of(out)
+            for i in range(0, len(out), 100_000):
+                yield batch_of(out[i : i + 100_000])
         if shards.pieces:
             yield batch_of(shards.take(alone or size > 2 * SHARD))
 
