@@ -68,7 +68,7 @@ def _windows(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nda
 def _blocks(batch: pa.RecordBatch, length: int):
     """(rows of the batch, bytes, offsets, offset of each piece in its text): long texts in overlapping pieces."""
     base = 0
-    for part, data, offsets in tk.blocks(batch, "text"):
+    for part, data, offsets in tk.blocks(batch, "text", 1 << 20):
         if len(data) <= _PIECE:
             yield base + np.arange(part.num_rows), data, offsets, np.zeros(part.num_rows, np.int64)
         else:
