@@ -37,7 +37,7 @@ PERCENT = 85
 #: Buckets of the sketch of document frequencies that orders the shingles of a set, rare ones first. Any
 #: order gives the same links: a coarse one, as on very many shingles, only makes lists longer.
 SKETCH_BITS = 22
-STAR_ROUNDS = 2
+STAR_ROUNDS = 4
 #: Sets of a list that one task compares with each other; longer lists are dealt out by pairs of blocks.
 LIST_BLOCK = 1024
 
@@ -173,17 +173,23 @@ def _needed(a, b, percent: int):
     return F.ceil((a + b) * F.lit(percent) / F.lit(100 + percent))
 
 
-def _texts_of(docs: DataFrame, k: int, wanted: DataFrame) -> DataFrame:
-    """(sid, members) of the sets in wanted. A Bloom filter keeps other documents' sets out of the shuffle."""
-    words = bloom(wanted, "sid", wanted.count())
+def _texts_of(docs: DataFrame, k: int, sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(sid, members) of the sets in wanted. Bloom filters of a document of each, and of the sets, leave
+    other texts unread and other sets out of the shuffle."""
+    one = materialise(sets.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id")), "jaccard-one")
+    n = one.count()
+    words, ids = bloom(one, "sid", n), bloom(one.where("doc_id is not null"), "doc_id", n)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, sets, ids in _sets(batch, k):
-                first = np.unique(ids, return_index=True)[1]
-                keep = first[in_bloom(words, ids[first].view(np.uint64)) & (ids[first] != 0)]
+            # rows without an id can't be told apart before their sets are known
+            own = batch.column("doc_id").cast(pa.int64())
+            near = in_bloom(ids, own.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64)) | own.is_null().to_numpy(zero_copy_only=False)
+            for _, sets_, sids in _sets(batch.filter(pa.array(near)), k):
+                first = np.unique(sids, return_index=True)[1]
+                keep = first[in_bloom(words, sids[first].view(np.uint64)) & (sids[first] != 0)]
                 if len(keep):
-                    yield _batch("sid members", ids[keep], tk.binaries([sets[i].tobytes() for i in keep]))
+                    yield _batch("sid members", sids[keep], tk.binaries([sets_[i].tobytes() for i in keep]))
 
     found = docs.select("doc_id", "text").mapInArrow(run, "sid long, members binary")
     return found.groupBy("sid").agg(F.first("members").alias("members")).join(wanted, "sid", "left_semi")
@@ -227,10 +233,10 @@ def _crowded(scans: DataFrame) -> DataFrame:
     return materialise(_only(scans, "key", bloom(keys, "key", keys.count())).distinct().join(keys, "key"), "jaccard-crowded")
 
 
-def _verified(docs: DataFrame, k: int, pairs: DataFrame, percent: int) -> DataFrame:
+def _verified(docs: DataFrame, k: int, sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (u, v) whose sets are similar enough, by exact intersection; only sets in pairs are sent."""
     wanted = materialise(pairs.select(F.explode(F.array("u", "v")).alias("sid")).distinct(), "jaccard-wanted")
-    near = materialise(_texts_of(docs, k, wanted), "jaccard-members")
+    near = materialise(_texts_of(docs, k, sets, wanted), "jaccard-members")
     both = pairs.join(near.select(F.col("sid").alias("u"), F.col("members").alias("a")), "u").join(
         near.select(F.col("sid").alias("v"), F.col("members").alias("b")), "v"
     )
@@ -352,7 +358,7 @@ def similar_sets(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tup
         left = size.agg(F.sum((F.col("k") * F.col("k") - F.col("s")) / 2), F.sum("k")).first()
         if not left[0]:
             break
-        last = star == STAR_ROUNDS or (star > 0 and left[0] <= 20 * left[1])
+        last = star == STAR_ROUNDS or (star > 0 and left[0] <= 4 * left[1])
         if last:
             pairs = _scan(apart, size, sets, light, percent)
         else:
@@ -364,7 +370,7 @@ def similar_sets(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tup
             pairs = pairs.join(tested, ["u", "v"], "left_anti")
         pairs = materialise(pairs, "jaccard-pairs")
         tested = pairs if tested is None else tested.union(pairs)
-        new = materialise(_verified(docs, k, _possible(sets, pairs, percent), percent), "jaccard-links")
+        new = materialise(_verified(docs, k, sets, _possible(sets, pairs, percent), percent), "jaccard-links")
         if new.limit(1).count():
             links = links.union(new)
             found = components(links)
