@@ -38,12 +38,14 @@ _OTHER = re.compile(r"[\W\d_]+")
 
 
 def letters(text: str | None) -> bytes:
-    """The text's words in lower case, parted by one space."""
+    """The text's words in lower case, parted by one space; nothing where it has no letter."""
+    if not any(map(str.isalpha, text or "")):
+        return b""
     return _OTHER.sub(" ", text or "").strip().lower().encode("utf-8", "surrogatepass")
 
 
 def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DICT_BYTES) -> dict[str, bytes]:
-    """A dictionary a language, from documents with the smallest hashes of their ids and texts.
+    """A dictionary a language, from documents with the smallest hashes of their ids (of their texts, where the id is null).
 
     The share of documents that is read follows from the count of each language, so the driver gets
     about sample_docs texts a language and no sort is needed.
@@ -53,7 +55,7 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DIC
     if not counts:
         return {}
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, sample_docs / n))])
-    spot = F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    spot = F.pmod(F.xxhash64(F.lit(1), F.coalesce(F.col("doc_id").cast("string"), "text")), F.lit(1 << 30)) / F.lit(float(1 << 30))
     picked = known.where(spot < share[F.col("lang")]).select("lang", "text", spot.alias("spot"))
     by: dict[str, list[tuple[float, bytes]]] = {}
     for r in picked.toLocalIterator():

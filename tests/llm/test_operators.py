@@ -83,6 +83,7 @@ def test_mixing(docs, empty):
 def test_langid(docs, empty):
     found = {r.doc_id: r for r in langid.identify(docs, langid.learn(docs)).collect()}
     assert found[4].lang_pred == found[5].lang_pred == found[7].lang_pred == "und" and found[1].lang_pred == "en"
+    assert langid.letters("\u00b2 12 _!") == b"" and langid.letters("A\u00b2, b") == "a\u00b2 b".encode()
     assert langid.identify(docs, {}).where("lang_pred <> 'und'").count() == 0 and langid.learn(empty) == {}
 
 
