@@ -25,6 +25,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +41,8 @@ SKETCH_BITS = 22
 STAR_ROUNDS = 4
 #: Sets of a list that one task compares with each other; longer lists are dealt out by pairs of blocks.
 LIST_BLOCK = 1024
+#: Keys that each set of the scan brings along, to tell lists that give the same pair.
+FIRST_KEYS = 32
 
 
 def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], np.ndarray]]:
@@ -257,15 +260,20 @@ def _verified(docs: DataFrame, k: int, sets: DataFrame, pairs: DataFrame, percen
     return both.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
-def _scan(apart: DataFrame, size: DataFrame, sets: DataFrame, light: int, percent: int) -> DataFrame:
-    """Pairs (u, v) of a list and of different components that may link; lists are compared in memory, by blocks."""
+def _scan(apart: DataFrame, size: DataFrame, sets: DataFrame, light: int, percent: int, distinct: bool = True) -> DataFrame:
+    """Pairs (u, v) of a list and of different components that may link; lists are compared in memory, by blocks.
+
+    A pair that meets in many lists is given by the one of the smallest key: a list leaves out a pair of
+    which a smaller key is among the FIRST_KEYS smallest of both. The smallest shared key is never left out.
+    """
     wanted = apart.select("sid").distinct()
     counts = sets.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.first("counts").alias("counts"))
     blocks = F.ceil(F.col("k") / F.lit(LIST_BLOCK)).cast("int")
-    met = apart.join(size.select("key", blocks.alias("blocks")), "key").join(counts, "sid")
+    first = apart.groupBy("sid").agg(F.slice(F.array_sort(F.collect_list("key")), 1, FIRST_KEYS).alias("first"))
+    met = apart.join(size.select("key", blocks.alias("blocks")), "key").join(counts, "sid").join(first, "sid")
     own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
     met = met.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "sid", "n", "at", "root", "counts")
+    met = met.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "sid", "n", "at", "root", "counts", "first")
 
     def pairs(t: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Of one group: rows that may link, the first in block i and the second in block j."""
@@ -282,17 +290,25 @@ def _scan(apart: DataFrame, size: DataFrame, sets: DataFrame, light: int, percen
                 share, full = np.minimum(t["counts"][p], t["counts"][q]), (t["counts"][p] == 255) & (t["counts"][q] == 255)
                 most = share.sum(axis=1, dtype=np.int64)
                 keep = full.any(axis=1) | (100 * most >= percent * (t["n"][p] + t["n"][q] - most))
-                out_u.append(t["sid"][p[keep]])
-                out_v.append(t["sid"][q[keep]])
+                p, q = p[keep], q[keep]
+                if len(p):
+                    keep = ~_share_below(t["first"][p], t["first"][q], t["key"][0])
+                    out_u.append(t["sid"][p[keep]])
+                    out_v.append(t["sid"][q[keep]])
         none = np.zeros(0, np.int64)
         return np.concatenate([none, *out_u]), np.concatenate([none, *out_v])
 
     names = ["own", "i", "j", "sid", "n", "at", "root"]
+    pad = np.iinfo(np.int64).max
 
     def table_of(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
         t = {c: batch.column(c).to_numpy() for c in ("key", *names)}
         raw = b"".join(x.as_py() for x in batch.column("counts"))
-        return t | {"counts": np.frombuffer(raw, np.uint8).reshape(-1, 256)}
+        col = batch.column("first")
+        length = pc.list_value_length(col).to_numpy()
+        first = np.full((len(length), FIRST_KEYS), pad, np.int64)
+        first[np.arange(FIRST_KEYS) < length[:, None]] = col.flatten().to_numpy()
+        return t | {"counts": np.frombuffer(raw, np.uint8).reshape(-1, 256), "first": first}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] | None = None
@@ -315,7 +331,18 @@ def _scan(apart: DataFrame, size: DataFrame, sets: DataFrame, light: int, percen
             yield _batch("u v", np.minimum(u, v), np.maximum(u, v))
 
     dealt = met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "sid")
-    return dealt.mapInArrow(run, "u long, v long").distinct()
+    found = dealt.mapInArrow(run, "u long, v long")
+    return found.distinct() if distinct else found
+
+
+def _share_below(a: np.ndarray, b: np.ndarray, key: int) -> np.ndarray:
+    """Which rows of a and b, sorted keys each, share a key under `key`."""
+    out = np.zeros(len(a), bool)
+    for i in range(0, len(a), 1024):
+        x, y = a[i : i + 1024], b[i : i + 1024]
+        both = np.sort(np.concatenate([x, y], axis=1), axis=1)
+        out[i : i + 1024] = ((both[:, 1:] == both[:, :-1]) & (both[:, 1:] < key)).any(axis=1)
+    return out
 
 
 def _rows(ok: np.ndarray, most: int = 1 << 15) -> Iterator[tuple[np.ndarray, np.ndarray]]:

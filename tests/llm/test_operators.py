@@ -141,3 +141,19 @@ def test_quality(docs, spark, empty):
     rows = quality.score(docs, model, ["doc_id"]).collect()
     assert len(rows) == len(DOCS) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows)
     assert quality.score(empty, model, ["doc_id"]).count() == 0
+
+
+def test_share_below():
+    rng = np.random.default_rng(3)
+    a, b = (np.sort(np.stack([rng.choice(40, 8, replace=False) for _ in range(3000)]), axis=1) for _ in range(2))
+    want = [any(k < 20 for k in set(x) & set(y)) for x, y in zip(a.tolist(), b.tolist())]
+    assert list(jaccard._share_below(a, b, 20)) == want
+
+
+def test_scan(spark):
+    # sets that share every list, none of one component: each pair is given once
+    apart = spark.createDataFrame([(k, s, 50, -k, s) for k in range(1, 6) for s in range(1, 9)] + [(100, s, 50, -1, s) for s in (1, 20)], "key long, sid long, n long, at long, root long")
+    size = apart.groupBy("key").count().withColumnRenamed("count", "k")
+    sets = spark.createDataFrame([(s, bytes([1] * 50 + [0] * 206)) for s in [*range(1, 9), 20]], "sid long, counts binary")
+    got = sorted(map(tuple, jaccard._scan(apart, size, sets, 0, 85, distinct=False).collect()))
+    assert got == sorted({(a, b) for a in range(1, 9) for b in range(a + 1, 9)} | {(1, 20)})
