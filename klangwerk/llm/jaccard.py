@@ -18,6 +18,7 @@ repeated rows share a vertex; a null id keeps its row; long texts are handled in
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections.abc import Iterator
 from itertools import combinations
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from klangwerk.llm import textkit as tk
 from klangwerk.llm.components import components
-from klangwerk.llm.store import bloom, in_bloom, materialise, table
+from klangwerk.llm.store import bloom, discard, in_bloom, materialise, table
 
 WORDS = 4
 PERCENT = 85
@@ -176,10 +177,10 @@ def _needed(a, b, percent: int):
     return F.ceil((a + b) * F.lit(percent) / F.lit(100 + percent))
 
 
-def _texts_of(docs: DataFrame, k: int, sets: DataFrame, wanted: DataFrame) -> DataFrame:
+def _texts_of(docs: DataFrame, k: int, sets: DataFrame, wanted: DataFrame, work: str) -> DataFrame:
     """(sid, members) of the sets in wanted. Bloom filters of a document of each, and of the sets, leave
     other texts unread and other sets out of the shuffle."""
-    one = materialise(sets.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id")), "jaccard-one")
+    one = materialise(sets.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id")), f"{work}/one")
     n = one.count()
     words, ids = bloom(one, "sid", n), bloom(one.where("doc_id is not null"), "doc_id", n)
 
@@ -198,10 +199,10 @@ def _texts_of(docs: DataFrame, k: int, sets: DataFrame, wanted: DataFrame) -> Da
     return found.groupBy("sid").agg(F.first("members").alias("members")).join(wanted, "sid", "left_semi")
 
 
-def _possible(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+def _possible(sets: DataFrame, pairs: DataFrame, percent: int, work: str) -> DataFrame:
     """The pairs that their counts by range of hashes leave possible."""
     wanted = pairs.select(F.explode(F.array("u", "v")).alias("sid")).distinct()
-    told = materialise(sets.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.first("n").alias("n"), F.first("counts").alias("counts")), "jaccard-counts")
+    told = materialise(sets.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.first("n").alias("n"), F.first("counts").alias("counts")), f"{work}/counts")
     side = lambda x, n, c: told.select(F.col("sid").alias(x), F.col("n").alias(n), F.col("counts").alias(c))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +217,7 @@ def _possible(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("u").filter(mask), batch.column("v").filter(mask)], ["u", "v"])
 
     met = pairs.join(side("u", "n", "a"), "u").join(side("v", "n2", "b"), "v")
-    return materialise(met.select("u", "v", "n", "n2", "a", "b").mapInArrow(run, "u long, v long"), "jaccard-possible")
+    return materialise(met.select("u", "v", "n", "n2", "a", "b").mapInArrow(run, "u long, v long"), f"{work}/possible")
 
 
 def _only(df: DataFrame, column: str, words: np.ndarray) -> DataFrame:
@@ -236,10 +237,10 @@ def _crowded(scans: DataFrame) -> DataFrame:
     return materialise(_only(scans, "key", bloom(keys, "key", keys.count())).distinct().join(keys, "key"), "jaccard-crowded")
 
 
-def _verified(docs: DataFrame, k: int, sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+def _verified(docs: DataFrame, k: int, sets: DataFrame, pairs: DataFrame, percent: int, work: str) -> DataFrame:
     """The pairs (u, v) whose sets are similar enough, by exact intersection; only sets in pairs are sent."""
-    wanted = materialise(pairs.select(F.explode(F.array("u", "v")).alias("sid")).distinct(), "jaccard-wanted")
-    near = materialise(_texts_of(docs, k, sets, wanted), "jaccard-members")
+    wanted = materialise(pairs.select(F.explode(F.array("u", "v")).alias("sid")).distinct(), f"{work}/wanted")
+    near = materialise(_texts_of(docs, k, sets, wanted, work), f"{work}/members")
     both = pairs.join(near.select(F.col("sid").alias("u"), F.col("members").alias("a")), "u").join(
         near.select(F.col("sid").alias("v"), F.col("members").alias("b")), "v"
     )
@@ -378,9 +379,10 @@ def similar_sets(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tup
     found = components(links)
     tested = None
     for star in range(STAR_ROUNDS + 1):
+        work = f"jaccard-round-{uuid.uuid4().hex}"  # what only this round reads
         known = crowded.join(found, crowded["sid"] == found["u"], "left").select("key", "sid", "n", "at", F.coalesce("root", "sid").alias("root"))
         split = known.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
-        apart = materialise(known.join(split, "key"), "jaccard-apart")
+        apart = materialise(known.join(split, "key"), f"{work}/apart")
         size = apart.groupBy("key", "root").count().groupBy("key").agg(F.sum("count").alias("k"), F.sum(F.col("count") * F.col("count")).alias("s"))
         left = size.agg(F.sum((F.col("k") * F.col("k") - F.col("s")) / 2), F.sum("k")).first()
         if not left[0]:
@@ -397,7 +399,8 @@ def similar_sets(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tup
             pairs = pairs.join(tested, ["u", "v"], "left_anti")
         pairs = materialise(pairs, "jaccard-pairs")
         tested = pairs if tested is None else tested.union(pairs)
-        new = materialise(_verified(docs, k, sets, _possible(sets, pairs, percent), percent), "jaccard-links")
+        new = materialise(_verified(docs, k, sets, _possible(sets, pairs, percent, work), percent, work), "jaccard-links")
+        discard(docs.sparkSession, work)
         if new.limit(1).count():
             links = links.union(new)
             found = components(links)
