@@ -6,7 +6,7 @@ and a narrow margin between the two smallest is a rejection. A tie goes to the l
 labelled documents.
 
 Cases: null text and text without a letter are `und` with score 0; texts are encoded whole, whatever
-their length; without any labelled text all are `und`; columns named like the three results give way
+their length; a text that only repeats a few words tells little and may be rejected; without any labelled text all are `und`; columns named like the three results give way
 to them, other columns are left alone.
 """
 
@@ -30,7 +30,8 @@ DICT_BYTES = 64 << 10
 #: Lower levels find too few of the short matches that tell languages apart.
 LEVEL = 9
 #: A text of MIN_BYTES bytes of letters or more is rejected where the runner-up is larger by less than
-#: this share of them. Outputs of shorter texts often tie, which says nothing against the text.
+#: this share of them. Outputs of shorter texts often tie, which says nothing against the text. What a
+#: dictionary saves stops growing once a text is longer than it, so the share is of DICT_BYTES at most.
 MIN_MARGIN = 0.002
 MIN_BYTES = 64
 UND = "und"
@@ -87,7 +88,7 @@ class Classifier:
         if not data or not self.coders:
             return UND, 0.0, True
         sizes = sorted((len(c.compress(data)), i) for i, c in enumerate(self.coders))
-        margin = (sizes[1][0] - sizes[0][0]) / len(data) if len(sizes) > 1 else 1.0
+        margin = (sizes[1][0] - sizes[0][0]) / min(len(data), DICT_BYTES) if len(sizes) > 1 else 1.0
         # two sizes as probabilities of the same text: the difference in bytes, at a bit of evidence each
         return self.langs[sizes[0][1]], 1 / (1 + math.exp(-min(50.0, margin * 40))), len(data) >= MIN_BYTES and margin < MIN_MARGIN
 
