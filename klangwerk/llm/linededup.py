@@ -7,7 +7,8 @@ except from one of which such lines make up more than `max_share`: that is a cop
 rather than a page with boilerplate, and whole copies are left to the near-duplicate operator.
 
 Cases: null text has no lines and stays null; blank lines never count and stay; a null site counts
-for no line; repeated rows and ties change nothing, as a line's fate depends on its content alone.
+for no line; repeated rows and ties change nothing, as a line's fate depends on its content alone;
+columns named lines_total or lines_removed give way to those of the result.
 """
 
 from __future__ import annotations
@@ -44,6 +45,7 @@ def line_dedup(
     docs: DataFrame, min_sites: int = MIN_SITES, max_share: float = MAX_SHARE, id_col: str = "doc_id", site_col: str = "source"
 ) -> DataFrame:
     """docs with `text` cut, plus lines_total and lines_removed."""
+    docs = docs.drop("lines_total", "lines_removed")
     common = boilerplate(docs, min_sites, site_col)
     own = docs.select(F.col(id_col).alias("id__"), F.explode(F.split("text", "\n")).alias("line"))
     own = own.select("id__", F.xxhash64(_line(F.col("line"))).alias("h"))

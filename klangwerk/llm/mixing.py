@@ -5,7 +5,8 @@ only one refined by the next hash bits, level by level. A document is then taken
 hash with its source's threshold: one filter, no sort, and smaller budgets take subsets of larger.
 
 Cases: null text has size 0; a null source is a source, last in order; equal rows share their hash
-and are taken together; an empty table gives an empty result; other columns are left alone.
+and are taken together; an empty table gives an empty result; kept columns named like those of the result
+give way to them, others are left alone.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ SHARE = 1.5
 CAP = 2.0
 #: Hash bits used by each refinement; together 48 of 64.
 LEVEL_BITS = (12, 12, 12, 12)
+RESULT = ("doc_id", "size", "source_size", "target", "taken", "source")
 
 
 def word_count(text: Column) -> Column:
@@ -108,12 +110,13 @@ def mix(
 
     Documents are read again and filtered in place: what is joined to them is a row a source.
     """
-    of = cuts(docs, weights, share, cap, id_col)
-    once_more = (F.col("extra") > 0) & (F.shiftrightunsigned("hash__", 64 - sum(LEVEL_BITS)) < F.col("cut"))
+    of = cuts(docs, weights, share, cap, id_col).select("source_size", "target", *[F.col(c).alias(f"{c}__") for c in ("s", "full", "extra", "cut")])
+    keep = tuple(c for c in keep if c not in (id_col, *RESULT))
+    once_more = (F.col("extra__") > 0) & (F.shiftrightunsigned("hash__", 64 - sum(LEVEL_BITS)) < F.col("cut__"))
     base = docs.select(F.col(id_col).alias("doc_id"), "source", word_count(F.col("text")).alias("size"), _hash(id_col).alias("hash__"), *keep)
-    return base.join(of, F.col("source").eqNullSafe(F.col("s"))).select(
+    return base.join(of, F.col("source").eqNullSafe(F.col("s__"))).select(
         "doc_id", "size", "source_size", "target",
-        (F.col("size") * (F.col("full") + once_more.cast("long"))).alias("taken"), "source", *keep,
+        (F.col("size") * (F.col("full__") + once_more.cast("long"))).alias("taken"), "source", *keep,
     )
 
 
