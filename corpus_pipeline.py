@@ -1,11 +1,15 @@
 """The corpus pipeline: five stages over documents, each written as Parquet and read by the next.
 
 Rows whose doc_id is null can't be named by a later stage's decisions: stages that decide by id keep
-them. n_chars follows the text where a stage changes it.
+them. n_chars follows the text where a stage changes it. Columns beside those of documents pass through
+the stages under names that no operator uses; only those named like a column of the mix give way to it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,6 +18,24 @@ from klangwerk.llm.store import materialise, table
 from klangwerk.session import ship
 
 
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _aside(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage, with other columns than those of documents renamed while it runs."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = {c: c if c in COLUMNS else f"aside{i}__" for i, c in enumerate(docs.columns)}
+        back = {new: c for c, new in names.items()}
+        out = stage(spark, docs.select(*[F.col(f"`{c}`").alias(new) for c, new in names.items()]), sf_dir)
+        kept = [c for c in out.columns if c in COLUMNS or c not in back or back[c] not in out.columns]
+        return out.select(*[F.col(c).alias(back.get(c, c)) for c in kept])
+
+    return run_stage
+
+
+@_aside
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told; those rejected go."""
     ship(spark)
@@ -21,6 +43,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where(~F.col("rejected")).select(*docs.columns)
 
 
+@_aside
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that spread over many sites."""
     out = linededup.line_dedup(docs)
@@ -29,14 +52,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.select(*docs.columns)
 
 
+@_aside
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the smallest id."""
+    """One document of each group: the one with the smallest id. Repeated rows count once; rows without an id and words all stay."""
     ship(spark)
     groups = jaccard.near_duplicates(docs).where("component_id <> doc_id").select("doc_id").distinct()
     left = docs.join(groups, "doc_id", "left_anti").withColumn("text__", F.xxhash64("text"))
-    return left.dropDuplicates(["doc_id", "text__"]).select(*docs.columns)
+    # a row without an id and words is a copy of none, unless all its columns are the same
+    wordless = F.col("doc_id").isNull() & ~F.coalesce(F.col("text").rlike(mixing.WORD), F.lit(False))
+    left = left.withColumn("row__", F.when(wordless, F.xxhash64(*docs.columns)))
+    return left.dropDuplicates(["doc_id", "text__", "row__"]).select(*docs.columns)
 
 
+@_aside
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
     ship(spark)
@@ -44,9 +72,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return docs.join(materialise(leaks.select("doc_id").distinct(), "leaks"), "doc_id", "left_anti").select(*docs.columns)
 
 
+@_aside
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, with how many words of each: `taken` over `size` is the number of copies."""
-    keep = tuple(c for c in docs.columns if c not in ("doc_id", "source", "size", "source_size", "target", "taken"))
+    keep = tuple(c for c in docs.columns if c not in mixing.RESULT)
     return mixing.mix(docs, keep=keep).where("taken > 0")
 
 
