@@ -77,6 +77,9 @@ def test_mixing(docs, empty):
     assert len(rows) == len(DOCS) and all(0 <= r.taken <= 2 * r["size"] for r in rows)
     total = sum(r["size"] for r in rows)
     assert sum({r.source: r.target for r in rows}.values()) == pytest.approx(1.5 * total)
+    clash = docs.withColumns({c: docs["score"] for c in ("s", "full", "cut", "size", "target")})
+    rows = mixing.mix(clash, keep=("s", "full", "cut", "size", "target")).collect()
+    assert len(rows) == len(DOCS) and all((r.s, r.full, r.cut) == ("x",) * 3 and r["size"] != "x" for r in rows)
     assert mixing.mix(empty).count() == 0
 
 
@@ -87,10 +90,22 @@ def test_langid(docs, empty):
     assert langid.identify(docs, {}).where("lang_pred <> 'und'").count() == 0 and langid.learn(empty) == {}
 
 
+def test_langid_long():
+    rng = np.random.default_rng(4)
+    vocabulary = [["".join(w) for w in rng.choice(list("abcdefghijklmnop"), (2000, 6))] for _ in range(2)]
+    text = lambda words, n: " ".join(rng.choice(words, n))
+    classify = langid.Classifier({f"l{i}": text(v, 9000).encode()[: langid.DICT_BYTES] for i, v in enumerate(vocabulary)})
+    for n in (20, 1000, 500_000):
+        lang, score, rejected = classify(text(vocabulary[1], n))
+        assert lang == "l1" and score > 0.5 and not rejected
+
+
 def test_lines(spark, empty):
     rows = [(i, f"own {i} {'z' * 40}\nshared line", f"s{i}") for i in range(12)] + [(50, None, "s1"), (51, "", None), (52, "shared line", "s2")]
     out = {r.doc_id: r for r in linededup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
     assert out[3].text == f"own 3 {'z' * 40}" and out[50].text is None and out[52].text == "shared line"
+    clash = spark.createDataFrame([(1, "a", "s", 7)], "doc_id long, text string, source string, lines_removed int")
+    assert linededup.line_dedup(clash).first().lines_removed == 0
     assert linededup.line_dedup(empty).count() == 0
 
 
