@@ -5,7 +5,11 @@ is rotated at random and kept as a bit a dimension with correction scalars; from
 product with a query is estimated together with an error bound, and only vectors whose upper bound
 reaches the 20th best lower bound are reranked exactly, in double precision.
 
-A list with many vectors is cut into parts and its queries into blocks, so no task holds more than
+Lists are searched in two rounds. The first takes the PROBES most promising lists; the 20th best score
+found there is a floor under the true one. The second takes every other list that could reach the floor:
+by the list's centroid and farthest vector, so no list that holds a neighbour is left out.
+
+Lists are laid on shelves of equal size and queries cut into blocks, so no task holds much more than
 PART vectors and QUERIES queries whatever one list or one repeated vector weighs.
 
 Cases: vectors that are null, zero or hold null or non-finite components take no part, nor do those
@@ -27,9 +31,11 @@ from klangwerk.llm.store import materialise, table
 K = 20
 #: The centroids are fitted on this many vectors at most; every vector is indexed.
 SAMPLE = 20_000
+#: Lists of the first round; the second takes all that can still matter.
 PROBES = 24
 PART = 16_384
 QUERIES = 2_048
+NONE = pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
 #: Width of the error bound in standard errors of the estimate.
 EPS = 3.0
 
@@ -89,7 +95,8 @@ def estimate(codes: np.ndarray, size: np.ndarray, fit_: np.ndarray, q: np.ndarra
     return (q @ centroid)[:, None] + size[None, :] * along, error + 1e-4 * (norm * size[None, :] + 1)
 
 
-def _search(ids: np.ndarray, x: np.ndarray, codes: np.ndarray, size: np.ndarray, fit_: np.ndarray, centroid: np.ndarray, turn: np.ndarray, qid: np.ndarray, q: np.ndarray, k: int) -> pd.DataFrame:
+def _search(ids: np.ndarray, x: np.ndarray, codes: np.ndarray, size: np.ndarray, fit_: np.ndarray, centroid: np.ndarray, turn: np.ndarray, qid: np.ndarray, q: np.ndarray, floor: np.ndarray, k: int) -> pd.DataFrame:
+    """The best k of one list for each query; scores under a query's floor are of no use to it."""
     out = []
     for b in range(0, len(q), 64):
         est, err = estimate(codes, size, fit_, q[b : b + 64], centroid, turn)
@@ -99,11 +106,11 @@ def _search(ids: np.ndarray, x: np.ndarray, codes: np.ndarray, size: np.ndarray,
             low[own] = high[own] = -np.inf
             m = len(ids) - int(own.sum())
             least = np.partition(low, len(low) - k)[len(low) - k] if m > k else -np.inf
-            pick = np.flatnonzero((high >= least) & ~own)
+            pick = np.flatnonzero((high >= max(least, floor[b + r])) & ~own)
             score = (x[pick] * q[b + r]).sum(axis=1)
             best = np.lexsort((ids[pick], -score))[:k]
             out.append(pd.DataFrame({"query_id": qid[b + r], "vec_id": ids[pick][best], "score": score[best]}))
-    return pd.concat(out) if out else pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+    return pd.concat(out) if out else NONE
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = K, probes: int = PROBES) -> DataFrame:
@@ -126,40 +133,80 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, probes: int = PRO
             codes, size, fit_ = encode(x, c[own], turn)
             yield pd.DataFrame({"list": own, "vec_id": t["vec_id"].to_numpy(), "v": list(x), "code": [r.tobytes() for r in codes], "size": size, "fit": fit_})
 
-    def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for t in batches:
-            if not len(t):
-                continue
-            x = np.array(t["v"].tolist())
-            # lists by what their vectors can reach at most, were all as far out as the list's farthest
-            reach = x @ c.T + np.linalg.norm(x, axis=1)[:, None] * spread[None, :]
-            m = min(probes, len(c))
-            top = np.argpartition(-reach, m - 1, axis=1)[:, :m] if m < len(c) else np.tile(np.arange(len(c)), (len(x), 1))
-            yield pd.DataFrame({"list": top.ravel(), "query_id": np.repeat(t["vec_id"].to_numpy(), m), "q": [x[i] for i in np.repeat(np.arange(len(x)), m)]})
-
     indexed = materialise(vectors.mapInPandas(index, "list int, vec_id long, v array<double>, code binary, size double, fit double"), "ann-index")
-    held = {r["list"]: r for r in indexed.groupBy("list").agg(F.count("*").alias("n"), F.avg("size").alias("s")).collect()}  # a row a centroid
-    spread = np.array([held[i]["s"] * 0.25 if i in held else -np.inf for i in range(len(c))])
-    probed = materialise(queries.mapInPandas(probe, "list int, query_id long, q array<double>"), "ann-probes")
-    asked = {r["list"]: r["count"] for r in probed.groupBy("list").count().collect()}
-    parts = {i: -(-r["n"] // PART) for i, r in held.items()}
-    blocks = {i: -(-m // QUERIES) for i, m in asked.items()}
-    number = lambda of: F.element_at(F.array(*[F.lit(int(of.get(i, 1))) for i in range(len(c))]), F.col("list") + 1)
-    deal = lambda i, m: F.pmod(F.xxhash64(i), m).cast("int")
-    each = lambda m: F.explode(F.sequence(F.lit(0), m - 1))
-    left = indexed.withColumn("part", deal("vec_id", number(parts))).withColumn("block", each(number(blocks)))
-    right = probed.withColumn("block", deal("query_id", number(blocks))).withColumn("part", each(number(parts)))
+    held = {r["list"]: r for r in indexed.groupBy("list").agg(F.count("*").alias("n"), F.avg("size").alias("s"), F.max("size").alias("far")).collect()}  # a row a centroid
+    of = lambda name, none: np.array([held[i][name] if i in held else none for i in range(len(c))])
+    count, spread, far = of("n", 0), of("s", -np.inf) * 0.25, of("far", -np.inf)
+    # lists lie one behind the other on shelves of equal numbers of vectors, whatever one list holds
+    shelf = int(np.clip(-(-n // (2 * spark.sparkContext.defaultParallelism)), 1024, PART))
+    begin = np.cumsum(count) - count
+    first, last = begin // shelf, (begin + np.maximum(count, 1) - 1) // shelf
+    number = queries.count()
+    blocks = max(1, -(-number // QUERIES))
+
+    def reach(x: np.ndarray, radius: np.ndarray) -> np.ndarray:
+        """What a list's vectors can reach at most, were all as far out as radius and in the query's direction."""
+        return x @ c.T + np.linalg.norm(x, axis=1)[:, None] * radius[None, :]
+
+    def nearby(x: np.ndarray) -> np.ndarray:
+        m = min(probes, len(c))
+        asked = np.zeros((len(x), len(c)), bool)
+        np.put_along_axis(asked, np.argpartition(-reach(x, spread), m - 1, axis=1)[:, :m] if m < len(c) else np.tile(np.arange(len(c)), (len(x), 1)), True, axis=1)
+        return asked & (count > 0)
+
+    def probe(rest: bool):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for t in batches:
+                if not len(t):
+                    continue
+                x, floor = np.array(t["v"].tolist()), t["floor"].to_numpy()
+                asked = nearby(x)
+                if rest:
+                    # no vector of another list gets to the floor: the inner product with what is left after the centroid is at most that of the lengths
+                    most = reach(x, far)
+                    asked = ~asked & (count > 0) & (most + 1e-9 * (np.abs(most) + 1) >= floor[:, None])
+                shelves = [sorted({s for i in np.flatnonzero(a) for s in range(first[i], last[i] + 1)}) for a in asked]
+                row = np.repeat(np.arange(len(x)), [len(s) for s in shelves])
+                if not len(row):
+                    continue
+                packed = [r.tobytes() for r in np.packbits(asked, axis=1)]
+                yield pd.DataFrame({"shelf": [i for s in shelves for i in s], "query_id": t["vec_id"].to_numpy()[row], "q": [x[i] for i in row], "floor": floor[row], "asked": [packed[i] for i in row]})
+
+        return run
 
     def group(v: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if not len(v) or not len(q):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        codes = np.frombuffer(b"".join(v["code"]), np.uint8).reshape(len(v), -1)
-        return _search(v["vec_id"].to_numpy(), np.array(v["v"].tolist()), codes, v["size"].to_numpy(), v["fit"].to_numpy(), c[v["list"].iloc[0]], turn, q["query_id"].to_numpy(), np.array(q["q"].tolist()), k)
-
-    keys = ["list", "part", "block"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(group, "query_id long, vec_id long, score double")
+            return NONE
+        v = v.sort_values("list", kind="stable")
+        ids, x, lists = v["vec_id"].to_numpy(), np.array(v["v"].tolist()), v["list"].to_numpy()
+        codes, size, fit_ = np.frombuffer(b"".join(v["code"]), np.uint8).reshape(len(v), -1), v["size"].to_numpy(), v["fit"].to_numpy()
+        qid, y, floor = q["query_id"].to_numpy(), np.array(q["q"].tolist()), q["floor"].to_numpy()
+        asked = np.unpackbits(np.frombuffer(b"".join(q["asked"]), np.uint8).reshape(len(q), -1), axis=1, count=len(c)).astype(bool)
+        out = []
+        for i in np.unique(lists):
+            a, z = np.searchsorted(lists, i), np.searchsorted(lists, i, "right")
+            of = np.flatnonzero(asked[:, i])
+            if len(of):
+                out.append(_search(ids[a:z], x[a:z], codes[a:z], size[a:z], fit_[a:z], c[i], turn, qid[of], y[of], floor[of], k))
+        return pd.concat(out) if out else NONE
+
+    deal = lambda i, m: F.pmod(F.xxhash64(i), m)
+    at = lambda xs: F.element_at(F.array(*[F.lit(int(i)) for i in xs]), F.col("list") + 1)
+    placed = indexed.withColumn("shelf", F.floor((at(begin) + deal("vec_id", at(np.maximum(count, 1)))) / shelf).cast("int"))
+    left = placed.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    keys = ["shelf", "block"]
+
+    def round_(asking: DataFrame, rest: bool) -> DataFrame:
+        probed = asking.mapInPandas(probe(rest), "shelf int, query_id long, q array<double>, floor double, asked binary")
+        right = probed.withColumn("block", deal("query_id", F.lit(blocks)).cast("int"))
+        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(group, "query_id long, vec_id long, score double")
+
+    best = lambda found: found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    near = materialise(best(round_(queries.withColumn("floor", F.lit(float("-inf"))), False)), "ann-near")
+    floors = near.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("floor")).distinct()
+    asking = queries.join(floors, "vec_id", "left").select("vec_id", "v", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"))
+    return best(near.select("query_id", "vec_id", "score").union(round_(asking, True)))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -143,6 +143,21 @@ def test_neighbours(spark):
     assert len(got) == 30 and hits / 600 >= 0.9 and ann.search(v.limit(0), v.limit(0)).count() == 0
 
 
+def test_neighbours_of_many_lists(spark):
+    # 71 lists, of which the first round takes 24; isotropic, so that neighbours lie in any of them
+    rng = np.random.default_rng(7)
+    x = rng.standard_normal((20_000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    v = ann.clean(spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>"))
+    got = {}
+    for r in ann.search(v, v.where("vec_id % 400 = 0")).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = {q: set([i for i in np.argsort(-(x @ x[q])) if i != q][:20]) for q in range(0, 20_000, 400)}
+    hits = sum(len(want[q] & got[q]) for q in want)
+    print("recall", hits / 1000)
+    assert len(got) == 50 and hits / 1000 >= 0.99
+
+
 def test_pages(spark):
     html = "<nav>menu</nav><div class=ad>buy</div><article><h1>T &amp; t</h1><p><b>one<br> two<p>three<div class='comments'>no</div><footer>f</footer></article><footer>x</footer>"
     rows = [(1, "http://a.b/c", html), (2, None, None), (3, "x", "")] + [(10 + i, "http://h.i/", f"<div class=top>same</div><div><p>text {i}</p></div>") for i in range(8)]
