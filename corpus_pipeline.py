@@ -45,8 +45,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_aside
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that spread over many sites."""
-    out = linededup.line_dedup(docs)
+    """All documents, without the lines that spread over many sites; those of such lines only are whole copies and stay for the next stage."""
+    out = linededup.line_dedup(docs, whole_only=True)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("lines_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)

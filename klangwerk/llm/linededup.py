@@ -3,8 +3,9 @@
 A HyperLogLog sketch of the sites of each line hash is merged by aggregation, so a line that holds a
 third of all rows still sends one small sketch a task. Estimates that are near the threshold are
 replaced by exact distinct counts. A line that reaches the threshold is cut from every document,
-except from one of which such lines make up more than `max_share`: that is a copy of a document
-rather than a page with boilerplate, and whole copies are left to the near-duplicate operator.
+except from one of which such lines make up more than `max_share`; so the query's SQL has it. With
+`whole_only` such a document is cut as well, as it may have content of its own: only those of which
+every line spreads stay. They are copies of a whole, which are left to the near-duplicate operator.
 
 Cases: null text has no lines and stays null; blank lines never count and stay; a null site counts
 for no line; repeated rows and ties change nothing, as a line's fate depends on its content alone;
@@ -42,7 +43,7 @@ def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, site_col: str = "so
 
 
 def line_dedup(
-    docs: DataFrame, min_sites: int = MIN_SITES, max_share: float = MAX_SHARE, id_col: str = "doc_id", site_col: str = "source"
+    docs: DataFrame, min_sites: int = MIN_SITES, max_share: float = MAX_SHARE, id_col: str = "doc_id", site_col: str = "source", whole_only: bool = False
 ) -> DataFrame:
     """docs with `text` cut, plus lines_total and lines_removed."""
     docs = docs.drop("lines_total", "lines_removed")
@@ -56,7 +57,10 @@ def line_dedup(
     length = lambda xs: F.aggregate(xs, F.lit(0), lambda a, x: a + F.length(x))
     touched = F.col("hits__").isNotNull()
     cut = met.withColumn("gone__", F.when(touched, F.filter(lines, out)))
-    cut = cut.withColumn("cut__", F.coalesce(touched & (length(F.col("gone__")) <= F.length("text") * F.lit(max_share)), F.lit(False)))
+    sparing = length(F.col("gone__")) <= F.length("text") * F.lit(max_share)
+    if whole_only:
+        sparing = sparing | F.exists(lines, lambda x: (_line(x) != "") & ~out(x))
+    cut = cut.withColumn("cut__", F.coalesce(touched & sparing, F.lit(False)))
     kept = F.array_join(F.filter(lines, lambda x: ~out(x)), "\n")
     return cut.select(
         *[(F.when(F.col("cut__"), kept).otherwise(F.col("text")).alias("text") if c == "text" else F.col(c)) for c in docs.columns],

@@ -61,3 +61,12 @@ def test_empty(spark, made):
     docs = spark.read.parquet(f"{made}/documents.parquet").limit(0)
     for _, stage in pipe.STAGES:
         assert stage(spark, docs, made).count() == 0
+
+
+def test_lines_over_half(spark, made):
+    notice = "\n".join(f"line {k} of a long notice that all sites share" for k in range(8))
+    rows = [row(i, f"own words {i}\n{notice}", "en", f"s{i}") for i in range(12)] + [row(20, notice, "en", "s1"), row(21, f"\n{notice}\n", "en", "s2")]
+    out = {r.doc_id: r for r in pipe.line_dedup(spark, spark.createDataFrame(rows, SCHEMA), made).collect()}
+    assert all(out[i].text == f"own words {i}" and out[i].n_chars == len(out[i].text) for i in range(12))
+    # every line spreads: whole copies, of which the next stage leaves one
+    assert out[20].text == notice and out[21].text == f"\n{notice}\n"
