@@ -18,6 +18,8 @@ from klangwerk.llm.store import materialise, table
 from klangwerk.session import ship
 
 
+#: What near_duplicates takes for a copy. op6_jaccard_join has limits of its own.
+WORDS, PERCENT = 5, 80
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -54,9 +56,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_aside
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one with the smallest id. Repeated rows count once; rows without an id and words all stay."""
+    """One document of each group of 5-word shingles alike to 80 %: the one with the smallest id. Repeated rows count once; rows without an id and words all stay."""
     ship(spark)
-    groups = jaccard.near_duplicates(docs).where("component_id <> doc_id").select("doc_id").distinct()
+    groups = jaccard.near_duplicates(docs, k=WORDS, percent=PERCENT).where("component_id <> doc_id").select("doc_id").distinct()
     left = docs.join(groups, "doc_id", "left_anti").withColumn("text__", F.xxhash64("text"))
     # a row without an id and words is a copy of none, unless all its columns are the same
     wordless = F.col("doc_id").isNull() & ~F.coalesce(F.col("text").rlike(mixing.WORD), F.lit(False))

@@ -70,3 +70,11 @@ def test_lines_over_half(spark, made):
     assert all(out[i].text == f"own words {i}" and out[i].n_chars == len(out[i].text) for i in range(12))
     # every line spreads: whole copies, of which the next stage leaves one
     assert out[20].text == notice and out[21].text == f"\n{notice}\n"
+
+
+def test_near_copies_of_five_words(spark, made):
+    # one of 50 words edited: 41 of 51 shingles of five words are shared, but only 43 of 51 of four
+    words = [f"w{k}" for k in range(50)]
+    rows = [row(1, " ".join(words), "en", "a"), row(2, " ".join(words[:25] + ["v"] + words[26:]), "en", "b"), row(3, " ".join(words[:30] + ["v"] * 20), "en", "b")]
+    out = pipe.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), made).collect()
+    assert sorted(r.doc_id for r in out) == [1, 3]
