@@ -1,13 +1,12 @@
-"""Operator 4: benchmark decontamination by CGK embedding, bit-sampling LSH and exact edit checks.
+"""Operator 4: benchmark decontamination by shared runs of words and exact edit checks.
 
-Texts are words: runs of letters and digits in lower case. The CGK random walk copies a word string to
-one three times as long, staying on a word or stepping on by a random bit of word and step, so that few
-edits between two strings become few differing places. Repeated samples of places are LSH keys; windows
-of an item's length that share a key with an item are candidates, and candidates are checked exactly by
-edit distance in words, with free ends.
+Texts are words: runs of letters and digits in lower case. An edit breaks at most q of the n - q + 1 runs
+of q words that an item of n words has, so a part of a text within k edits of it holds n - q + 1 - q * k
+of them or more, and they start at most k places apart from where the item's start would be. Places with
+so many are checked exactly by edit distance in words, with free ends. That loses no match, whatever
+the length of the item and the kind of the edits; runs have GRAM words, or fewer where that leaves none.
 
-A window is embedded only where it can match: within a distance of a fifth of an item's words some run
-of GRAM words is left whole, so windows lie where such a run of an item occurs. That loses no match.
+This takes the place of a CGK embedding with sampled LSH keys, which missed long passages with many edits.
 
 Cases: null and empty texts match nothing; items of fewer than MIN_WORDS words are too short to tell a
 leak and match nothing; a repeated document is found each time; an item block of any number is handled,
@@ -29,38 +28,21 @@ from klangwerk.llm.store import table
 SIMILARITY = 0.8
 GRAM = 3
 MIN_WORDS = 5
-WALKS, SAMPLES, PLACES = 8, 4, 3
 #: Bytes of item texts that go to executors at once.
 ITEM_BYTES = 16 << 20
 
 
-def _bit(words: np.ndarray, step: int, walk: int) -> np.ndarray:
-    return (tk.mix(words ^ np.uint64((walk * 1_000_003 + step * 7919 + 1) * 0x9E3779B97F4A7C15 & 2**64 - 1)) >> np.uint64(17)).astype(np.int64) & 1
+def allowed(n: int, similarity: float) -> int:
+    """How many edits an item of n words may have."""
+    return int(n * (1 - similarity) + 1e-9)
 
 
-def places(length: int) -> np.ndarray:
-    """Which places of an embedding of 3 * length each sample of each walk looks at."""
-    rng = np.random.default_rng(length)
-    return np.sort(rng.integers(0, 2 * length, (WALKS, SAMPLES, PLACES)), axis=2)
-
-
-def keys(words: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-    """LSH keys of the windows at starts: a row a window, WALKS * SAMPLES columns. Beyond its end a window has 0."""
-    at, out = places(length), np.zeros((len(starts), WALKS, SAMPLES), np.uint64)
-    for walk in range(WALKS):
-        i = np.zeros(len(starts), np.int64)
-        wanted = {int(p) for p in at[walk].ravel()}
-        acc = np.zeros((len(starts), SAMPLES), np.uint64)
-        for step in range(max(wanted) + 1):
-            w = np.where(i < length, words[np.minimum(starts + i, len(words) - 1)], np.uint64(0))
-            if step in wanted:
-                for s in range(SAMPLES):
-                    for _ in range(int((at[walk, s] == step).sum())):
-                        acc[:, s] = acc[:, s] * np.uint64(0xD6E8FEB86659FD93) + w
-            i += _bit(w, step, walk)
-        for s in range(SAMPLES):
-            out[:, walk, s] = tk.mix(acc[:, s] + np.uint64((length * 64 + walk * SAMPLES + s) * 0xA0761D6478BD642F & 2**64 - 1))
-    return out.reshape(len(starts), -1)
+def needed(n: int, most: int) -> tuple[int, int]:
+    """(length of runs, how many of an item's runs any match within `most` edits holds, at least one)."""
+    for q in range(GRAM, 0, -1):
+        if (runs := n - q + 1 - q * most) > 0:
+            return q, runs
+    return 1, 1
 
 
 def edits(item: np.ndarray, text: np.ndarray) -> np.ndarray:
@@ -77,9 +59,9 @@ def edits(item: np.ndarray, text: np.ndarray) -> np.ndarray:
 
 
 class Items:
-    """A block of items: their words, the places of their runs of GRAM words and their LSH tables."""
+    """A block of items: their words, the edits each may have and the places of their runs of words."""
 
-    def __init__(self, rows: list[tuple[int, str]]):
+    def __init__(self, rows: list[tuple[int, str]], similarity: float = SIMILARITY):
         self.ids, self.words = [], []
         for item_id, text in rows:
             data = np.frombuffer((text or "").encode(), np.uint8)
@@ -87,79 +69,66 @@ class Items:
             if len(s) >= MIN_WORDS:
                 self.ids.append(item_id)
                 self.words.append(tk.word_hashes(data, s, e))
-        grams, item, offset = [], [], []
-        for i, w in enumerate(self.words):
-            g, _ = tk.shingles(w, np.zeros(len(w), np.int64), GRAM, 1)
-            grams.append(g)
-            item.append(np.full(len(g), i))
-            offset.append(np.arange(len(g)))
-        join = lambda xs, kind: np.concatenate([np.zeros(0, kind), *xs]).astype(kind)
-        g = join(grams, np.uint64)
-        order = np.argsort(g, kind="stable")
-        self.grams, self.item, self.offset = g[order], join(item, np.int64)[order], join(offset, np.int64)[order]
-        tables: dict[int, list[tuple[np.ndarray, int]]] = {}
-        for i, w in enumerate(self.words):
-            tables.setdefault(len(w), []).append((keys(w, np.zeros(1, np.int64), len(w))[0], i))
+        self.most = np.array([allowed(len(w), similarity) for w in self.words], np.int64)
+        told = [needed(len(w), m) for w, m in zip(self.words, self.most.tolist())]
+        self.runs = np.array([n for _, n in told], np.int64)
         self.tables = {}
-        for length, found in tables.items():
-            k = np.concatenate([x for x, _ in found])
-            i = np.repeat([i for _, i in found], WALKS * SAMPLES)
-            order = np.argsort(k, kind="stable")
-            self.tables[length] = k[order], i[order]
-
-    def matches(self, words: np.ndarray, row: np.ndarray, similarity: float) -> Iterator[tuple[int, int, int, int]]:
-        """(row, item, first word, edits) of verified windows."""
-        if not len(words) or not len(self.grams):
-            return
-        g, at = tk.shingles(words, row, GRAM, int(row[-1]) + 1)
-        begin = np.searchsorted(row, np.arange(int(row[-1]) + 2))
+        for q in {q for q, _ in told}:
+            own = [i for i, t in enumerate(told) if t[0] == q]
+            grams = [tk.shingles(self.words[i], np.zeros(len(self.words[i]), np.int64), q, 1)[0] for i in own]
+            g = np.concatenate(grams)
+            order = np.argsort(g, kind="stable")
+            item, offset = np.repeat(own, [len(x) for x in grams]), np.concatenate([np.arange(len(x)) for x in grams])
+            self.tables[q] = g[order], item[order], offset[order]
+
+    def _candidates(self, words: np.ndarray, row: np.ndarray, begin: np.ndarray, q: int) -> np.ndarray:
+        """(item, first word, row, runs that lie just there) of the places where an item of runs of q has as many runs as a match needs."""
+        none = np.zeros((0, 4), np.int64)
+        grams, items, offsets = self.tables[q]
+        g, at = tk.shingles(words, row, q, int(row[-1]) + 1)
         counts = np.diff(begin)
-        # shingles of a row come in order of their words, one fewer than words for each further word
-        full = counts[at] >= GRAM
+        # shingles of a row come in order of their words, q - 1 fewer than words
+        full = counts[at] >= q
         g, at = g[full], at[full]
-        runs = np.maximum(counts - GRAM + 1, 0)
+        runs = np.maximum(counts - q + 1, 0)
         pos = np.arange(len(g)) - (np.cumsum(runs) - runs)[at] + begin[:-1][at]
-        lo, hi = np.searchsorted(self.grams, g), np.searchsorted(self.grams, g, "right")
+        lo, hi = np.searchsorted(grams, g), np.searchsorted(grams, g, "right")
         hit = np.flatnonzero(hi > lo)
         if not len(hit):
-            return
+            return none
         n = (hi - lo)[hit]
         which = np.repeat(lo[hit], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        item = self.item[which]
-        r = np.repeat(at[hit], n)
-        start = np.maximum(np.repeat(pos[hit], n) - self.offset[which], begin[r])
-        lengths = np.array([len(w) for w in self.words])
-        length = lengths[item]
-        start = np.maximum(begin[r], np.minimum(start, begin[r + 1] - length))
-        windows = np.unique(np.stack([length, start, r], 1), axis=0)
-        cand = []
-        for size in np.unique(windows[:, 0]):
-            mine = windows[windows[:, 0] == size]
-            k, owner = self.tables[int(size)]
-            for b in range(0, len(mine), 20_000):
-                part = mine[b : b + 20_000]
-                # a window that ends with its row must not read on
-                own = keys(np.append(words, np.uint64(0)), part[:, 1], int(size)).ravel()
-                a, z = np.searchsorted(k, own), np.searchsorted(k, own, "right")
-                m = z - a
-                got = np.repeat(a, m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
-                w = np.repeat(np.repeat(np.arange(len(part)), WALKS * SAMPLES), m)
-                if len(got):
-                    cand.append(np.unique(np.stack([owner[got], part[w, 1], part[w, 2]], 1), axis=0))
-        if not cand:
+        item, r, start = items[which], np.repeat(at[hit], n), np.repeat(pos[hit], n) - offsets[which]
+        # one number a (row, item, start), in order; starts of a match differ by its edits at most
+        reach = len(words) + 2 * max(len(w) for w in self.words)
+        _, pair = np.unique(r * len(self.words) + item, return_inverse=True)
+        key = pair * (2 * reach) + start + reach // 2
+        order = np.argsort(key, kind="stable")
+        key, item, r, start = key[order], item[order], r[order], start[order]
+        first = np.searchsorted(key, key)
+        near = np.searchsorted(key, key + self.most[item], "right") - first
+        pick = np.flatnonzero((near >= self.runs[item]) & (first == np.arange(len(key))))
+        if not len(pick):
+            return none
+        return np.stack([item[pick], start[pick], r[pick], np.searchsorted(key, key[pick], "right") - pick], 1)
+
+    def matches(self, words: np.ndarray, row: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+        """(row, item, edits, runs missing just there, first word) of verified windows."""
+        if not len(words) or not self.tables:
             return
-        cand = np.unique(np.concatenate(cand), axis=0)
+        begin = np.searchsorted(row, np.arange(int(row[-1]) + 2))
+        cand = np.concatenate([self._candidates(words, row, begin, q) for q in self.tables])
         for i in np.unique(cand[:, 0]):
-            mine, w = cand[cand[:, 0] == i], self.words[i]
-            most = int(len(w) * (1 - similarity) + 1e-9)
+            mine, w, most = cand[cand[:, 0] == i], self.words[i], int(self.most[i])
             a, z = np.maximum(begin[mine[:, 2]], mine[:, 1] - most), np.minimum(begin[mine[:, 2] + 1], mine[:, 1] + len(w) + most)
-            span = np.arange(len(w) + 2 * most)
+            span = np.arange(len(w) + 3 * most)
             for b in range(0, len(mine), 4096):
                 at_ = a[b : b + 4096, None] + span
                 text = np.where(at_ < z[b : b + 4096, None], words[np.minimum(at_, len(words) - 1)], np.uint64(0))
                 d = edits(w, text)
                 for j in np.flatnonzero(d <= most):
-                    yield int(mine[b + j, 2]), int(i), int(mine[b + j, 1] - begin[mine[b + j, 2]]), int(d[j])
+                    r = mine[b + j, 2]
+                    yield int(r), int(i), int(d[j]), -int(mine[b + j, 3]), max(0, int(mine[b + j, 1] - begin[r]))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id") -> DataFrame:
@@ -171,22 +140,22 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
         rows = benchmark.where(F.col("item_id").isNotNull() & F.col("text").isNotNull())
         if blocks > 1:
             rows = rows.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b)
-        found = _find(docs, Items([(r["item_id"], r["text"]) for r in rows.select("item_id", "text").toLocalIterator()]), similarity, id_col)
+        found = _find(docs, Items([(r["item_id"], r["text"]) for r in rows.select("item_id", "text").toLocalIterator()], similarity), id_col)
         out = found if out is None else out.union(found)
     return out
 
 
-def _find(docs: DataFrame, items: Items, similarity: float, id_col: str) -> DataFrame:
+def _find(docs: DataFrame, items: Items, id_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, offsets in tk.blocks(batch, "text"):
                 s, e, row = tk.words(data, offsets, tk.ALNUM)
-                best: dict[tuple[int, int], tuple[int, int]] = {}
-                for r, i, start, d in items.matches(tk.word_hashes(data, s, e), row, similarity):
-                    best[r, i] = min(best.get((r, i), (d, start)), (d, start))
+                best: dict[tuple[int, int], tuple[int, int, int]] = {}
+                for r, i, *found in items.matches(tk.word_hashes(data, s, e), row):
+                    best[r, i] = min(best.get((r, i), tuple(found)), tuple(found))
                 if best:
                     ids = part.column("doc_id").to_pylist()
-                    got = [(ids[r], items.ids[i], start, d, len(items.words[i])) for (r, i), (d, start) in sorted(best.items())]
+                    got = [(ids[r], items.ids[i], start, d, len(items.words[i])) for (r, i), (d, _, start) in sorted(best.items())]
                     yield pa.RecordBatch.from_arrays([pa.array([g[c] for g in got], pa.int64()) for c in range(5)], ["doc_id", "item_id", "start_word", "edits", "n_words"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, item_id long, start_word long, edits long, n_words long")

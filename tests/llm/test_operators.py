@@ -126,6 +126,41 @@ def test_leaks(docs, spark, empty):
     assert decontam.find_leaks(empty, item).count() == 0
 
 
+def free_edits(item, text):
+    """Least edits from item to any part of text."""
+    before = [0] * (len(text) + 1)
+    for i, w in enumerate(item):
+        now = [i + 1]
+        for j, v in enumerate(text):
+            now.append(min(before[j] + (v != w), before[j + 1] + 1, now[j] + 1))
+        before = now
+    return min(before)
+
+
+def test_edited_leaks(spark):
+    rng = np.random.default_rng(9)
+    word = lambda: f"w{rng.integers(400)}"
+    items, texts = [], []
+    for n in (5, 5, 6, 9, 10, 15, 20, 40, 80, 120, 200, 300):
+        item = [word() for _ in range(n)]
+        for kind in ("substitute", "mixed", "more"):
+            part = list(item)
+            # spread over the item, where they break the most runs
+            for p in np.linspace(0, n - 1, n // 5 + 2 + (kind == "more"))[1:-1].round().astype(int)[::-1]:
+                act = "substitute" if kind == "substitute" else rng.choice(["substitute", "insert", "delete"])
+                part[p : p + (act != "insert")] = [] if act == "delete" else [f"x{rng.integers(9)}"]
+            texts.append([word() for _ in range(20)] + part + [word() for _ in range(20)])
+        items.append(item)
+    found = decontam.find_leaks(
+        spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string"),
+        spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string"),
+    )
+    want = {(d, i): n for d, t in enumerate(texts) for i, item in enumerate(items) if (n := free_edits(item, t)) <= len(item) // 5}
+    got = {(r.doc_id, r.item_id): r.edits for r in found.collect()}
+    print("found", len(set(got) & set(want)), "of", len(want))
+    assert len(want) >= 24 and got == want
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(2)
     x = rng.standard_normal((600, 16))
