@@ -31,7 +31,7 @@ MIN_IMPORTANCE = 0.2
 MIN_PAGES = 6
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|select|svg|iframe|object|head|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|textarea|iframe|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^<>]*)>|<[!?][^>]*>",
     re.S | re.I,
 )
@@ -45,7 +45,9 @@ BLOCK = frozenset(
 CLOSES_P = BLOCK - {"body", "html", "li", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "dd", "dt"}
 SIBLINGS = {"li": {"li"}, "dd": {"dd", "dt"}, "dt": {"dd", "dt"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol menu dl table article main section div body".split())
-NOISE_TAGS = frozenset("nav aside footer form button dialog menu input label fieldset".split())
+NOISE_TAGS = frozenset("nav aside footer form button dialog menu input label fieldset template select svg object head".split())
+#: What may stand in a head; another tag ends one that is not closed.
+HEAD = frozenset("base link meta script style title noscript template object svg".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 NOISE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu menubar breadcrumb breadcrumbs"
@@ -101,6 +103,8 @@ class Page:
         self._flush()
 
     def _data(self, raw: str) -> None:
+        if self.stack[-1][0] == "head" and not raw.isspace():
+            self._pop(len(self.stack) - 1)
         if not self.stack[-1][1]:
             self.text.append(entities.unescape(raw) if "&" in raw else raw)
 
@@ -124,6 +128,14 @@ class Page:
                     self._pop(i)
                     break
             return
+        if any(t[0] == "head" for t in self.stack) and tag not in HEAD and not any(t[0] in HEAD for t in self.stack):
+            self._pop(next(i for i, t in enumerate(self.stack) if t[0] == "head"))
+        if tag in BLOCK:
+            # markup that was not closed and holds no blocks ends at the next one
+            for i in range(len(self.stack) - 1, 0, -1):
+                if self.stack[i][0] in ("svg", "select"):
+                    self._pop(i)
+                    break
         if tag == "br" or tag == "wbr":
             if tag == "br" and not self.stack[-1][1]:
                 self.text.append(" ")

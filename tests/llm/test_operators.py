@@ -200,6 +200,19 @@ def test_pages(spark):
     assert out[1] == "T & t\n\none two\n\nthree" and out[2] == out[3] == "" and out[12] == "text 2"
 
 
+def test_unclosed_markup():
+    text = lambda html: sitetree.Page(html).main_text()
+    assert text("<html><head><title>t</title><meta charset=utf-8><body><p>one</p>") == "one"
+    assert text("<head><meta charset=utf-8><style>p {}</style><p>one</p><p>two</p>") == "one\n\ntwo"
+    assert text("<head><title>t</title> one <p>two</p>") == "one\n\ntwo"
+    assert text("<p>one</p><svg viewBox='0 0 1 1'/><p>two</p>") == "one\n\ntwo"
+    assert text("<p>one <svg/> more</p><p>two</p>") == "one more\n\ntwo"
+    assert text("<p>one</p><svg><path d=x><text>no</text><p>two</p>") == "one\n\ntwo"
+    assert text("<div><p>one</p><select><option>a<option>b</div><p>two</p>") == "one\n\ntwo"
+    assert text("<div><p>one</p><object data=x><param name=a></div><p>two</p>") == "one\n\ntwo"
+    assert text("<svg><text>no</text></svg><select><option>a</select><template><p>no</p></template><p>one</p>") == "one"
+
+
 def test_quality(docs, spark, empty):
     labels = spark.createDataFrame([(1, 1), (2, 1), (8, 0)], "doc_id long, quality int")
     model = quality.learn(docs.select("doc_id", "text"), labels)
