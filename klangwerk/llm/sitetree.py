@@ -8,6 +8,7 @@ What tags, roles and names mark as menu, header, footer, sidebar, notice, advert
 comment goes on any page; inside `article` or `main` elements, where a page has them, prose stays.
 
 Only what these marks leave open enters the tree: containers inside landmarks, and pages without one.
+Where pages have a plain `article`, that is nothing, and the marks take the method's place.
 
 Cases: null and empty html give an empty text; tags that are never closed end where an outer one ends;
 pages without a host form one host; equal pages of a host count once, so that copies don't look like
