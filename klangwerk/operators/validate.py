@@ -31,7 +31,8 @@ def _judged(rows: DataFrame, origin: str) -> tuple[DataFrame, DataFrame]:
 
 
 def compare(source: DataFrame, generated: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """Each source variant with the generated one that is closest: least ratio, then edits, then spelling."""
+    """Each source variant with the generated one that is closest: least ratio, then edits, then
+    the first by `position`, where generated has it, then spelling."""
     pairs = source.withColumnRenamed("ipa", "wiktionary_ipa").join(generated.withColumnRenamed("ipa", "espeak_ipa"), ["lang", "word"])
     # composed once, before the expressions on tokens, which then stay inside the JVM
     pairs = pairs.withColumn("x", tk.nfc("wiktionary_ipa")).withColumn("y", tk.nfc("espeak_ipa"))
@@ -40,7 +41,8 @@ def compare(source: DataFrame, generated: DataFrame, threshold: float = 0.8) ->
         own = pairs.where(F.col("lang") == lang)
         own = own.withColumn("c", tk.compare(tk.tokens(F.col("x"), lang, normalised=True), tk.tokens(F.col("y"), lang, espeak=True, normalised=True), lang))
         by_lang = own if by_lang is None else by_lang.unionByName(own)
-    rank = F.struct("c.phoneme_distance_ratio", "c.phoneme_edits", "espeak_ipa")
+    first = ["position"] if "position" in generated.columns else []
+    rank = F.struct("c.phoneme_distance_ratio", "c.phoneme_edits", *first, "espeak_ipa")
     best = by_lang.groupBy("lang", "word", "wiktionary_ipa").agg(F.min_by(F.struct("espeak_ipa", "c"), rank).alias("b"))
     out = best.select("lang", "word", "wiktionary_ipa", "b.espeak_ipa", "b.c.*")
     return out.withColumn("extreme_mismatch", tk.extreme({c: F.col(c) for c in out.columns}, threshold))

@@ -325,6 +325,35 @@ def closest_variant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.where(~tie & (longest > 0)).select("word", F.col("espeak_ipa").alias("closest"))
 
 
+# The queries above compare a part of the words, where SQL's levenshtein of letters is that of sounds. Those
+# below compare all words of all languages; SQL can't, so they have no counterpart.
+
+
+def _compared_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every spelled word against the same word spelled backwards, in the sounds of its language."""
+    sounds = lambda ipa, lang: tk.tokens(ipa, lang, normalised=True)
+    c = _by_lang(lambda lang: tk.compare(sounds(F.col("ipa"), lang), sounds(_toy(F.reverse("word")), lang), lang))
+    return spelled(spark, sf_dir).withColumn("c", c).select("lang", "word", "c.*", "c")
+
+
+@_query()
+def phoneme_distance_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _compared_all(spark, sf_dir).select("lang", "word", "phoneme_edits", "phoneme_distance_ratio")
+
+
+@_query()
+def extreme_mismatch_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _compared_all(spark, sf_dir).groupBy("lang", tk.extreme(F.col("c")).alias("extreme")).agg(F.count("*").alias("words"))
+
+
+@_query()
+def closest_variant_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ties included: of equally close variants the first wins."""
+    own = spelled(spark, sf_dir).select("lang", "word", "ipa")
+    other = own.select("lang", "word", F.posexplode(F.array(_toy(F.reverse("word")), _toy(F.concat("word", F.lit("a"))))).alias("position", "ipa"))
+    return validate.compare(own, other).select("lang", "word", F.col("espeak_ipa").alias("closest"))
+
+
 @_query(f"""WITH {_TOKENS}
 SELECT lang, 'wiktionary' AS source, count(*) AS pronunciations, count(DISTINCT ipa) AS unique_ipa, CAST(sum(len(t) + 2) AS BIGINT) AS tokens FROM keyed GROUP BY 1""")
 def audit_report(spark: SparkSession, sf_dir: str) -> DataFrame:
