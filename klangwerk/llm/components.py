@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 
 from klangwerk.llm.store import materialise
 
-MAX_ROUNDS = 60
-
-
 def _both(e: DataFrame) -> DataFrame:
     return e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
@@ -22,10 +19,11 @@ def components(links: DataFrame) -> DataFrame:
     """links (u, v) -> (u, root): the smallest vertex reachable from each vertex with a link."""
     e = materialise(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "cc")
     last = None
-    for _ in range(MAX_ROUNDS):
+    while True:  # the number of rounds grows as the logarithm of the links
         # large star: a vertex's larger neighbours go to its smallest neighbour
         near = _both(e)
-        least = near.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        # written, so that the rows of a vertex with very many links may be dealt to many tasks
+        least = materialise(near.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "cc-least")
         large = near.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         # small star: a vertex and its smaller neighbours go to the smallest of them
         small = large.groupBy("u").agg(F.min("v").alias("m"))
@@ -35,4 +33,3 @@ def components(links: DataFrame) -> DataFrame:
         if tuple(now) == last:
             return e.select("u", F.col("v").alias("root"))
         last = tuple(now)
-    raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")

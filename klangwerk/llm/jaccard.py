@@ -6,11 +6,13 @@ subset's smallest set links with all others that qualify and no list is ever pai
 scans inverted lists: it looks up the shortest prefix of its shingles, rare ones first, that a partner
 cannot miss. B is the size at which the cost of both ways, over the measured sizes, is least.
 
-Equal sets are one vertex from the start. Inverted lists are scanned in rounds. In a round each member
-meets only its list's leader, another one each time; members that then are in one component need no
-further test with each other. When little is left apart, or after STAR_ROUNDS, the last round pairs
-all that is still apart, so no link is lost: it scans each list, block against block, and emits only
-pairs that their sizes, positions and counts leave possible. Pairs are checked exactly.
+Equal sets are one vertex from the start. Inverted lists are scanned in rounds. In the first each member
+meets only its list's leader. The next ones scan each list, block against block, for pairs of different
+components that sizes, positions and counts leave possible; of these, each component gives only its few
+best (BEST), those that are likest by their counts. Pairs are checked exactly, and those that link make
+a forest: what they join needs no further test with each other, so a group of near copies costs about a
+pair a member. A last scan gives all pairs that are still apart, unless the one before left none out, so
+no link is lost.
 
 Cases: null text, empty text and text without words give an empty set, which links with nothing;
 repeated rows share a vertex; a null id keeps its row; long texts are handled in bounded blocks.
@@ -32,18 +34,19 @@ from pyspark.sql import functions as F
 
 from klangwerk.llm import textkit as tk
 from klangwerk.llm.components import components
-from klangwerk.llm.store import bloom, discard, in_bloom, materialise, table
+from klangwerk.llm.store import bloom, discard, hot_join, in_bloom, materialise, table
 
 WORDS = 4
 PERCENT = 85
 #: Buckets of the sketch of document frequencies that orders the shingles of a set, rare ones first. Any
 #: order gives the same links: a coarse one, as on very many shingles, only makes lists longer.
 SKETCH_BITS = 22
-STAR_ROUNDS = 4
+#: How many pairs a component gives in each block of a list, by round of the scan; in the last all.
+BEST = (4, None)
 #: Sets of a list that one task compares with each other; longer lists are dealt out by pairs of blocks.
 LIST_BLOCK = 1024
 #: Keys that each set of the scan brings along, to tell lists that give the same pair.
-FIRST_KEYS = 32
+FIRST_KEYS = 8
 
 
 def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], np.ndarray]]:
@@ -196,13 +199,17 @@ def _texts_of(docs: DataFrame, k: int, sets: DataFrame, wanted: DataFrame, work:
                     yield _batch("sid members", sids[keep], tk.binaries([sets_[i].tobytes() for i in keep]))
 
     found = docs.select("doc_id", "text").mapInArrow(run, "sid long, members binary")
-    return found.groupBy("sid").agg(F.first("members").alias("members")).join(wanted, "sid", "left_semi")
+    return found.groupBy("sid").agg(F.first("members").alias("members")).join(one.select("sid"), "sid", "left_semi")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    """The sets of the pairs, each once."""
+    return pairs.select(F.explode(F.array("u", "v")).alias("sid")).distinct()
 
 
 def _possible(sets: DataFrame, pairs: DataFrame, percent: int, work: str) -> DataFrame:
     """The pairs that their counts by range of hashes leave possible."""
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("sid")).distinct()
-    told = materialise(sets.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.first("n").alias("n"), F.first("counts").alias("counts")), f"{work}/counts")
+    told = materialise(sets.join(_ends(pairs), "sid", "left_semi").groupBy("sid").agg(F.first("n").alias("n"), F.first("counts").alias("counts")), f"{work}/counts")
     side = lambda x, n, c: told.select(F.col("sid").alias(x), F.col("n").alias(n), F.col("counts").alias(c))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,17 +237,16 @@ def _only(df: DataFrame, column: str, words: np.ndarray) -> DataFrame:
     return df.mapInArrow(run, df.schema)
 
 
-def _crowded(scans: DataFrame) -> DataFrame:
+def _crowded(scans: DataFrame, work: str) -> DataFrame:
     """The entries of lists with more than one set."""
     keys = scans.groupBy("key").agg(F.min("sid").alias("a"), F.max("sid").alias("b")).where("a <> b").select("key")
-    keys = materialise(keys, "jaccard-keys")
+    keys = materialise(keys, f"{work}/keys")
     return materialise(_only(scans, "key", bloom(keys, "key", keys.count())).distinct().join(keys, "key"), "jaccard-crowded")
 
 
 def _verified(docs: DataFrame, k: int, sets: DataFrame, pairs: DataFrame, percent: int, work: str) -> DataFrame:
     """The pairs (u, v) whose sets are similar enough, by exact intersection; only sets in pairs are sent."""
-    wanted = materialise(pairs.select(F.explode(F.array("u", "v")).alias("sid")).distinct(), f"{work}/wanted")
-    near = materialise(_texts_of(docs, k, sets, wanted, work), f"{work}/members")
+    near = materialise(_texts_of(docs, k, sets, _ends(pairs), work), f"{work}/members")
     both = pairs.join(near.select(F.col("sid").alias("u"), F.col("members").alias("a")), "u").join(
         near.select(F.col("sid").alias("v"), F.col("members").alias("b")), "v"
     )
@@ -261,25 +267,27 @@ def _verified(docs: DataFrame, k: int, sets: DataFrame, pairs: DataFrame, percen
     return both.select("u", "v", "a", "b").mapInArrow(run, "u long, v long")
 
 
-def _scan(apart: DataFrame, size: DataFrame, sets: DataFrame, light: int, percent: int, distinct: bool = True) -> DataFrame:
-    """Pairs (u, v) of a list and of different components that may link; lists are compared in memory, by blocks.
+def _scan(apart: DataFrame, size: DataFrame, sets: DataFrame, light: int, percent: int, best: int | None = None) -> DataFrame:
+    """Pairs (u, v, more) of a list and of different components that may link; lists are compared in memory, by blocks.
 
-    A pair that meets in many lists is given by the one of the smallest key: a list leaves out a pair of
-    which a smaller key is among the FIRST_KEYS smallest of both. The smallest shared key is never left out.
+    With `best`, each component gives so many pairs of a block at most, the likest by their counts, and of
+    pairs between the same components the likest goes out; a row without u, or `more`, tells that pairs
+    were left for a later round. Without, all go out, and each that meets in many lists by the one of the
+    smallest key, as far as their FIRST_KEYS smallest keys tell; the smallest shared key always gives it.
     """
     wanted = apart.select("sid").distinct()
     counts = sets.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.first("counts").alias("counts"))
-    blocks = F.ceil(F.col("k") / F.lit(LIST_BLOCK)).cast("int")
     first = apart.groupBy("sid").agg(F.slice(F.array_sort(F.collect_list("key")), 1, FIRST_KEYS).alias("first"))
+    blocks = F.ceil(F.col("k") / F.lit(LIST_BLOCK)).cast("int")
     met = apart.join(size.select("key", blocks.alias("blocks")), "key").join(counts, "sid").join(first, "sid")
-    own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
-    met = met.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    mine = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
+    met = met.withColumn("own", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "sid", "n", "at", "root", "counts", "first")
 
-    def pairs(t: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """Of one group: rows that may link, the first in block i and the second in block j."""
+    def pairs(t: dict[str, np.ndarray]) -> tuple[list[np.ndarray], bool]:
+        """Of one group: (u, v, root of u, root of v, what they share at most) of rows that may link, and whether some were left out."""
         left, right = np.flatnonzero(t["own"] == t["i"]), np.flatnonzero(t["own"] == t["j"])
-        out_u, out_v = [], []
+        out = []
         for a in range(0, len(left), 64):
             x, y = left[a : a + 64][:, None], right[None, :]
             n, n2, at, at2 = t["n"][x], t["n"][y], t["at"][x], t["at"][y]
@@ -288,16 +296,26 @@ def _scan(apart: DataFrame, size: DataFrame, sets: DataFrame, light: int, percen
             ok &= (x < y) if t["i"][0] == t["j"][0] else True
             for r, c in _rows(ok):
                 p, q = left[a + r], right[c]
-                share, full = np.minimum(t["counts"][p], t["counts"][q]), (t["counts"][p] == 255) & (t["counts"][q] == 255)
-                most = share.sum(axis=1, dtype=np.int64)
-                keep = full.any(axis=1) | (100 * most >= percent * (t["n"][p] + t["n"][q] - most))
-                p, q = p[keep], q[keep]
-                if len(p):
+                one, two = t["counts"][p], t["counts"][q]
+                most = np.minimum(one, two).sum(axis=1, dtype=np.int64)
+                both, full = t["n"][p] + t["n"][q], ((one == 255) & (two == 255)).any(axis=1)
+                most = np.where(full, both, most)
+                keep = full | (100 * most >= percent * (both - most))
+                p, q, most = p[keep], q[keep], most[keep] / both[keep]
+                if len(p) and best is None:
                     keep = ~_share_below(t["first"][p], t["first"][q], t["key"][0])
-                    out_u.append(t["sid"][p[keep]])
-                    out_v.append(t["sid"][q[keep]])
-        none = np.zeros(0, np.int64)
-        return np.concatenate([none, *out_u]), np.concatenate([none, *out_v])
+                    p, q, most = p[keep], q[keep], most[keep]
+                if len(p):
+                    out.append(np.stack([p, q]).astype(np.int64))
+                    out.append(most)
+        if not out:
+            return [], False
+        (p, q), most = np.concatenate(out[::2], axis=1), np.concatenate(out[1::2])
+        less = False
+        if best is not None:
+            keep = _best(t["root"][p], t["root"][q], most, best)
+            p, q, most, less = p[keep], q[keep], most[keep], not keep.all()
+        return [t["sid"][p], t["sid"][q], t["root"][p], t["root"][q], most], less
 
     names = ["own", "i", "j", "sid", "n", "at", "root"]
     pad = np.iinfo(np.int64).max
@@ -313,6 +331,15 @@ def _scan(apart: DataFrame, size: DataFrame, sets: DataFrame, light: int, percen
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] | None = None
+        left_out = False
+
+        def found(t: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+            nonlocal left_out
+            cols, less = pairs(t)
+            left_out |= less
+            if cols:
+                yield _batch("u v ru rv most", *cols)
+
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -323,17 +350,33 @@ def _scan(apart: DataFrame, size: DataFrame, sets: DataFrame, light: int, percen
             cuts = np.concatenate([[0], change])
             for b, e in zip(cuts[:-1], cuts[1:]):
                 if e - b > 1:
-                    u, v = pairs({c: t[c][b:e] for c in t})
-                    if len(u):
-                        yield _batch("u v", np.minimum(u, v), np.maximum(u, v))
+                    yield from found({c: t[c][b:e] for c in t})
             held = {c: t[c][cuts[-1] :] for c in t}
         if held is not None and len(held["key"]) > 1:
-            u, v = pairs(held)
-            yield _batch("u v", np.minimum(u, v), np.maximum(u, v))
+            yield from found(held)
+        if left_out:
+            yield _batch("u v ru rv most", *[pa.nulls(1, pa.int64())] * 4, pa.nulls(1, pa.float64()))
 
     dealt = met.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "sid")
-    found = dealt.mapInArrow(run, "u long, v long")
-    return found.distinct() if distinct else found
+    told = dealt.mapInArrow(run, "u long, v long, ru long, rv long, most double")
+    pair = F.struct(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    if best is None:
+        return told.select(pair.alias("p")).distinct().select("p.u", "p.v", F.lit(False).alias("more"))
+    roots = F.least("ru", "rv").alias("a"), F.greatest("ru", "rv").alias("b")
+    likest = told.select(*roots, "most", pair.alias("p")).groupBy("a", "b").agg(F.max_by("p", F.struct("most", "p")).alias("p"), F.min("p").alias("x"), F.max("p").alias("y"))
+    return likest.select("p.u", "p.v", (F.col("p.u").isNull() | (F.col("x") != F.col("y"))).alias("more"))
+
+
+def _best(a: np.ndarray, b: np.ndarray, most: np.ndarray, best: int) -> np.ndarray:
+    """Which pairs of components a and b are among the `best` likest of either."""
+    ends, which = np.concatenate([a, b]), np.tile(np.arange(len(a)), 2)
+    order = np.lexsort((which, -most[which], ends))
+    e = ends[order]
+    begin = np.concatenate([[True], e[1:] != e[:-1]])
+    rank = np.arange(len(e)) - np.maximum.accumulate(np.where(begin, np.arange(len(e)), 0))
+    keep = np.zeros(len(a), bool)
+    keep[which[order[rank < best]]] = True
+    return keep
 
 
 def _share_below(a: np.ndarray, b: np.ndarray, key: int) -> np.ndarray:
@@ -346,7 +389,7 @@ def _share_below(a: np.ndarray, b: np.ndarray, key: int) -> np.ndarray:
     return out
 
 
-def _rows(ok: np.ndarray, most: int = 1 << 15) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _rows(ok: np.ndarray, most: int = 1 << 13) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The true cells of a matrix, so many at a time."""
     r, c = np.nonzero(ok)
     for i in range(0, len(r), most):
@@ -361,7 +404,8 @@ def similar_sets(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tup
     histogram = {r["n"]: r["count"] for r in rows.where("n > 0 and n <= 64").groupBy("n").count().collect()}
     light = boundary(histogram, percent)
 
-    lists = materialise(_prefixes(docs, k, percent, light, frequencies(told)), "jaccard-lists")
+    first = f"jaccard-lists-{uuid.uuid4().hex}"  # what only the first steps read
+    lists = materialise(_prefixes(docs, k, percent, light, frequencies(told)), f"{first}/all")
     # a subset's smallest set needs the least overlap with every other: pairing with it loses no link
     subsets = lists.where("at > 0").groupBy("key", "at").agg(F.min(F.struct("n", "sid")).alias("f"), F.min("sid").alias("a"), F.max("sid").alias("b")).where("a <> b")
     light_links = lists.where("at > 0").join(subsets.select("key", "at", "f"), ["key", "at"]).where(
@@ -375,36 +419,41 @@ def similar_sets(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tup
     rest = F.least(F.col("n") + F.col("at"), F.col("n2") + F.col("at2")) + 1
     others = F.least(-F.col("at"), -F.col("at2")) - 1
     fits = near & heavy & (rest + others >= _needed(F.col("n"), F.col("n2"), percent))
-    crowded = _crowded(lists.where("at < 0"))
-    found = components(links)
+    crowded = _crowded(lists.where("at < 0"), first)
+    discard(docs.sparkSession, first)
+    linked = links.limit(1).count() > 0
+    found = components(links) if linked else links.select("u", F.col("v").alias("root"))
     tested = None
-    for star in range(STAR_ROUNDS + 1):
+    for best in (0, *BEST):
         work = f"jaccard-round-{uuid.uuid4().hex}"  # what only this round reads
-        known = crowded.join(found, crowded["sid"] == found["u"], "left").select("key", "sid", "n", "at", F.coalesce("root", "sid").alias("root"))
-        split = known.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
-        apart = materialise(known.join(split, "key"), f"{work}/apart")
-        size = apart.groupBy("key", "root").count().groupBy("key").agg(F.sum("count").alias("k"), F.sum(F.col("count") * F.col("count")).alias("s"))
-        left = size.agg(F.sum((F.col("k") * F.col("k") - F.col("s")) / 2), F.sum("k")).first()
-        if not left[0]:
+        known = crowded.withColumn("root", F.col("sid"))
+        if linked:
+            known = crowded.join(found, crowded["sid"] == found["u"], "left").select("key", "sid", "n", "at", F.coalesce("root", "sid").alias("root"))
+        # written, so that the rows of a long list may be dealt to many tasks
+        split = materialise(known.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("k")).where("a <> b").select("key", "k"), f"{work}/split")
+        if not split.limit(1).count():
             break
-        last = star == STAR_ROUNDS or (star > 0 and left[0] <= 4 * left[1])
-        if last:
-            pairs = _scan(apart, size, sets, light, percent)
-        else:
-            turn = F.struct(F.xxhash64("sid", F.lit(star)).alias("turn"), "sid", "n", "at", "root")
+        apart = materialise(known.join(split.select("key"), "key"), "jaccard-apart") if linked else known
+        crowded = apart.drop("root")  # lists of one component stay so
+        if best == 0:
+            turn = F.struct(F.xxhash64("sid").alias("turn"), "sid", "n", "at", "root")
             head = apart.groupBy("key").agg(F.min(turn).alias("h")).select("key", *[F.col(f"h.{a}").alias(b) for a, b in (("sid", "sid2"), ("n", "n2"), ("at", "at2"), ("root", "root2"))])
+            head = materialise(head, f"{work}/head")
             pairs = apart.join(head, "key").where((F.col("root") != F.col("root2")) & fits)
             pairs = pairs.select(F.least("sid", "sid2").alias("u"), F.greatest("sid", "sid2").alias("v")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        pairs = materialise(pairs, "jaccard-pairs")
-        tested = pairs if tested is None else tested.union(pairs)
-        new = materialise(_verified(docs, k, sets, _possible(sets, pairs, percent, work), percent, work), "jaccard-links")
+            pairs = tested = materialise(pairs, "jaccard-pairs")
+            pairs, more = _possible(sets, pairs, percent, work), True
+        else:
+            scanned = materialise(_scan(apart, split, sets, light, percent, best), "jaccard-pairs")
+            more = bool(scanned.where("more").limit(1).count())
+            pairs = scanned.where("u is not null").select("u", "v").join(tested, ["u", "v"], "left_anti")
+            tested = tested.union(scanned.where("u is not null").select("u", "v"))
+        new = materialise(_verified(docs, k, sets, pairs, percent, work), "jaccard-links")
         discard(docs.sparkSession, work)
         if new.limit(1).count():
-            links = links.union(new)
-            found = components(links)
-        if last:
+            # what is known already is a forest of stars
+            found, linked = components(found.select("u", F.col("root").alias("v")).union(new)), True
+        if not more:
             break
     return rows, found
 
@@ -412,12 +461,12 @@ def similar_sets(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tup
 def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
     rows, found = similar_sets(docs.select(F.col(id_col).alias("doc_id"), "text"), k, percent)
-    met = rows.join(found, rows["sid"] == found["u"], "left").select("doc_id", "n", "sid", F.coalesce("root", "sid").alias("root"))
-    met = materialise(met, "jaccard-roots")
-    least = met.where("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
-    return met.join(least, (met["root"] == least["root"]) & (met["n"] > 0), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id")
-    )
+    own = rows.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("own"))
+    own = materialise(own.join(found, own["sid"] == found["u"], "left").select("sid", "own", F.coalesce("root", "sid").alias("root")), "jaccard-roots")
+    least = own.groupBy("root").agg(F.min("own").alias("least"))
+    least = materialise(hot_join(own.select("sid", "root"), least, "root").select("sid", "least"), "jaccard-least")
+    # sets without shingles all have the id 0, which least doesn't hold
+    return hot_join(rows, least, "sid").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -14,10 +15,12 @@ BLOOM_BITS = 1 << 27
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; one of our own only where the session names none."""
+    """The folder named by spark.checkpoint.dir; one of our own only where a local session names none."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not named:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="klangwerk-"))
         named = sc.getCheckpointDir()
     return named.rstrip("/")
@@ -41,6 +44,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: A key with more than one in HOT of the rows is joined by broadcast: there are HOT such keys at most.
+HOT = 64
+
+
+def hot_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """left left-joined with right, which has a key once: rows of a key that holds much of left stay where they are."""
+    counts = left.groupBy(key).agg(F.count("*").alias("c"))
+    total = left.count()
+    hot = [r[0] for r in counts.where(F.col("c") * HOT > total).select(key).collect() if r[0] is not None]
+    if not hot:
+        return left.join(right, key, "left")
+    of = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    return left.where(of).join(F.broadcast(right.where(of)), key, "left").unionByName(left.where(~of).join(right.where(~of), key, "left"))
+
+
 def bloom(keys: DataFrame, column: str, expected: int) -> np.ndarray:
     """A two-probe Bloom filter over the long column: 12 bits a key, BLOOM_BITS at most.
 

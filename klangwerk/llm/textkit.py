@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 
 U = np.uint64
 #: Bytes of text handled at once; a longer single text is a block of its own.
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 _rng = np.random.default_rng(20240607)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * U(2) + U(1)
 _P, _PINV = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
