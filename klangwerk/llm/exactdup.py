@@ -3,8 +3,8 @@
 Texts are cut into overlapping pieces such that equal strings of `length` bytes lie in pieces with the
 same key: a string's key is its least 32-byte hash, a function of its content alone. Pieces whose key
 occurs once hold no repeat and go no further. The others are dealt by key to shards; a shard has a
-suffix array of its distinct pieces and their common prefixes. A key with more bytes than a shard has
-several, merged by binary search of each one's strings in the others' suffix arrays.
+suffix array of its distinct pieces and their common prefixes. Keys with more bytes than a shard holds
+have several, merged by binary search of each one's strings in the others' suffix arrays.
 
 Cases: null text is empty; equal rows repeat each other; a row is known by its id and text together, so
 repeated and null ids keep their rows apart or alike as their texts are; texts are taken as UTF-8 bytes
@@ -151,14 +151,13 @@ def _pieces(docs: DataFrame, length: int, words: np.ndarray) -> DataFrame:
 class _Shards:
     """The distinct pieces of some keys; `take` gives the spans to remove of those that occur once."""
 
-    def __init__(self, length: int):
-        self.length, self.pieces, self.at = length, [], []
+    def __init__(self, length: int, shard: int):
+        self.length, self.shard, self.pieces, self.at = length, shard, [], []
 
-    def take(self, together: bool) -> list[tuple[int, int, int]]:
-        """together: all pieces have one key and are more than a shard holds."""
+    def take(self) -> list[tuple[int, int, int]]:
         groups, size = [[]], 0
         for i, p in enumerate(self.pieces):
-            if together and size > SHARD:
+            if size and size + len(p) > self.shard:
                 groups.append([])
                 size = 0
             groups[-1].append(i)
@@ -196,16 +195,15 @@ class _Shards:
         return group, text, sa[valid[sa]], np.flatnonzero(valid), dup
 
 
-def _spans(pieces: DataFrame, length: int) -> DataFrame:
+def _spans(pieces: DataFrame, length: int, shard: int = SHARD) -> DataFrame:
     """(rid, a, b): spans that repeats cover. Pieces come by key, equal ones together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shards, size, last_key, last_print, first = _Shards(length), 0, None, None, None
+        shards, size, last_key, last_print = _Shards(length, shard), 0, None, None
 
         def batch_of(spans: list[tuple[int, int, int]]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([s[i] for s in spans], pa.int64()) for i in range(3)], ["rid", "a", "b"])
 
-        alone = True  # all pieces held have one key
         for batch in batches:
             out = []
             for key, mark, rids, starts, piece in zip(*(batch.column(c).to_pylist() for c in ("key", "print", "rids", "starts", "piece"))):
@@ -217,11 +215,9 @@ def _spans(pieces: DataFrame, length: int) -> DataFrame:
                         shards.at[-1] = None
                     out += places
                     continue
-                if key != last_key and size > SHARD:
-                    out += shards.take(alone)
-                    size, alone = 0, True
-                elif last_key is not None and key != last_key and shards.pieces:
-                    alone = False
+                if key != last_key and size + len(piece) > shard:
+                    out += shards.take()
+                    size = 0
                 shards.pieces.append(piece)
                 shards.at.append(places[0][:2] if len(places) == 1 else None)
                 out += places if len(places) > 1 else []
@@ -230,20 +226,20 @@ def _spans(pieces: DataFrame, length: int) -> DataFrame:
             for i in range(0, len(out), 100_000):
                 yield batch_of(out[i : i + 100_000])
         if shards.pieces:
-            yield batch_of(shards.take(alone or size > 2 * SHARD))
+            yield batch_of(shards.take())
 
     near = pieces.repartition("key").sortWithinPartitions("key", "print")
     return near.mapInArrow(run, "rid long, a long, b long")
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", shard: int = SHARD) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans) of every document."""
     docs = docs.select(F.col(id_col).alias("doc_id"), "text")
     told = materialise(_first_pass(docs, length), "repeat-keys")
     keys = told.where("key is not null").groupBy("key").agg(F.sum("c").alias("c")).where("c > 1").select("key")
     keys = materialise(keys, "repeat-common")
     words = bloom(keys, "key", keys.count())
-    spans = materialise(_spans(_pieces(docs, length, words), length), "repeat-spans")
+    spans = materialise(_spans(_pieces(docs, length, words), length, shard), "repeat-spans")
     by_row = spans.groupBy("rid").agg(F.sort_array(F.collect_set(F.struct("a", "b"))).alias("spans"))
     by_row = materialise(by_row, "repeat-rows")
     known = bloom(by_row, "rid", by_row.count())

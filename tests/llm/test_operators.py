@@ -56,12 +56,35 @@ def test_suffix_dedup(docs, empty):
         for j in range(len(b) - length + 1):
             if seen[b[j : j + length]] > 1:
                 gone |= set(range(j, j + length))
-        want.append((i, len(b), len(gone), hashlib.sha256(bytes(c for k, c in enumerate(b) if k not in gone)).hexdigest()))
-    got = exactdup.remove_repeats(docs, length).select("doc_id", "n_bytes", "n_removed", "kept_sha256").collect()
-    assert sorted(map(tuple, got)) == sorted(want)
+        want.append((i, len(b), len(gone), sum(k - 1 not in gone for k in gone), hashlib.sha256(bytes(c for k, c in enumerate(b) if k not in gone)).hexdigest()))
+    # shards of all sizes: one for all, several of a key, one a piece
+    for shard in (1 << 20, 700, 1):
+        got = exactdup.remove_repeats(docs, length, shard=shard).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+        assert sorted(map(tuple, got)) == sorted(want)
     assert exactdup.remove_repeats(empty).count() == 0
 
 
+def test_suffix_dedup_long(spark):
+    # texts over 4 MiB are cut into pieces; a passage across a cut is found in another text, null ids keep their rows apart
+    rng = np.random.default_rng(6)
+    long = rng.integers(97, 123, 9 << 20).astype(np.uint8).tobytes().decode()
+    cut = exactdup._PIECE
+    rows = [(1, long), (2, long[cut - 300 : cut + 300]), (None, "q" + long[100:600]), (None, "r" + long[:99])]
+    out = {r.n_bytes: r for r in exactdup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [tuple(out[len(t)][c] for c in ("n_removed", "n_spans")) for _, t in rows] == [(1100, 2), (600, 1), (500, 1), (0, 0)]
+
+
+def test_lower_bounds():
+    rng = np.random.default_rng(8)
+    for _ in range(40):
+        a, b = (rng.integers(97, 100, rng.integers(20, 200)).astype(np.uint8) for _ in range(2))
+        length = int(rng.integers(1, 12))
+        starts = np.arange(len(b) - length + 1)
+        sa = suffix.suffix_array(a)
+        got = suffix.lower_bounds(a, sa, b, starts, length)
+        assert list(got) == [b[i : i + length].tobytes() in a.tobytes() for i in starts]
+
+
 def test_suffix_array():
     rng = np.random.default_rng(1)
     for _ in range(50):
@@ -228,10 +251,73 @@ def test_share_below():
     assert list(jaccard._share_below(a, b, 20)) == want
 
 
+def scan_input(spark, members, lists, n=50):
+    apart = spark.createDataFrame([(k, s, n, -k, s) for k in range(1, lists + 1) for s in members], "key long, sid long, n long, at long, root long")
+    size = apart.groupBy("key").count().withColumnRenamed("count", "k")
+    sets = spark.createDataFrame([(s, n, bytes([1] * n + [0] * (256 - n))) for s in members], "sid long, n long, counts binary")
+    return apart, size, sets
+
+
 def test_scan(spark):
     # sets that share every list, none of one component: each pair is given once
-    apart = spark.createDataFrame([(k, s, 50, -k, s) for k in range(1, 6) for s in range(1, 9)] + [(100, s, 50, -1, s) for s in (1, 20)], "key long, sid long, n long, at long, root long")
-    size = apart.groupBy("key").count().withColumnRenamed("count", "k")
-    sets = spark.createDataFrame([(s, bytes([1] * 50 + [0] * 206)) for s in [*range(1, 9), 20]], "sid long, counts binary")
-    got = sorted(map(tuple, jaccard._scan(apart, size, sets, 0, 85, distinct=False).collect()))
-    assert got == sorted({(a, b) for a in range(1, 9) for b in range(a + 1, 9)} | {(1, 20)})
+    apart, size, sets = scan_input(spark, range(1, 9), 5)
+    got = sorted((r.u, r.v, r.more) for r in jaccard._scan(apart, size, sets, 0, 85).collect())
+    assert got == sorted((a, b, False) for a in range(1, 9) for b in range(a + 1, 9))
+
+
+def test_scan_of_the_best(spark):
+    # of many equal pairs each component gives a few, and says that it left some out
+    apart, size, sets = scan_input(spark, range(1, 41), 3)
+    got = jaccard._scan(apart, size, sets, 0, 85, 2).collect()
+    pairs = [(r.u, r.v) for r in got if r.u is not None]
+    assert any(r.more for r in got) and len(set(pairs)) == len(pairs) <= 3 * 2 * 40 and {x for p in pairs for x in p} == set(range(1, 41))
+
+
+def test_best():
+    rng = np.random.default_rng(5)
+    a, b, most = rng.integers(0, 9, 200), rng.integers(9, 20, 200), rng.random(200)
+    want = np.zeros(200, bool)
+    for ends in (a, b):
+        for e in np.unique(ends):
+            own = np.flatnonzero(ends == e)
+            want[own[np.argsort(-most[own])[:3]]] = True
+    assert list(jaccard._best(a, b, most, 3)) == list(want)
+
+
+def test_jaccard_groups(spark):
+    # a list of over 1,024 sets, chains of near copies, light and heavy sets, null ids and repeats, against brute force
+    rng = np.random.default_rng(11)
+    base = [f"b{i}" for i in range(60)]
+    texts = [" ".join(base[: 60 - int(rng.integers(0, 8))] + [f"e{j}x{t}" for t in range(int(rng.integers(0, 7)))]) for j in range(1300)]
+    texts += [" ".join(f"c{i}" for i in range(k, k + 40)) for k in range(0, 120, 3)] + [" ".join(f"s{k // 4}q{i}" for i in range(4 + k % 4)) for k in range(40)]
+    rows = list(enumerate(texts)) + [(None, texts[0]), (None, None), (5, texts[5]), (9000, texts[7])]
+    sets = [frozenset(tuple(w[j : j + 4]) for j in range(len(w) - 3)) or frozenset([tuple(w)] if w else []) for w in ((t or "").split() for _, t in rows)]
+    distinct = list({s for s in sets if s})
+    root = {s: s for s in distinct}
+
+    def find(s):
+        while root[s] is not s:
+            s = root[s]
+        return s
+
+    where = {}
+    for i, s in enumerate(distinct):
+        for g in s:
+            where.setdefault(g, []).append(i)
+    for i, s in enumerate(distinct):
+        shared = {}
+        for g in s:
+            for j in where[g]:
+                if j < i:
+                    shared[j] = shared.get(j, 0) + 1
+        for j, n in shared.items():
+            if 100 * n >= 85 * (len(s) + len(distinct[j]) - n) and find(s) is not find(distinct[j]):
+                root[find(s)] = find(distinct[j])
+    least = {}
+    for (i, _), s in zip(rows, sets):
+        if s and i is not None:
+            least[find(s)] = min(least.get(find(s), i), i)
+    want = sorted((str(i), len(s), least[find(s)] if s else i) for (i, _), s in zip(rows, sets))
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in got) == want
+    assert len({w[2] for w in want}) < len(want) / 4
