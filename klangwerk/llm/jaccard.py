@@ -183,7 +183,7 @@ def _needed(a, b, percent: int):
 def _texts_of(docs: DataFrame, k: int, sets: DataFrame, wanted: DataFrame, work: str) -> DataFrame:
     """(sid, members) of the sets in wanted. Bloom filters of a document of each, and of the sets, leave
     other texts unread and other sets out of the shuffle."""
-    one = materialise(sets.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.min("doc_id").alias("doc_id")), f"{work}/one")
+    one = materialise(sets.join(wanted, "sid", "left_semi").select("sid", "doc_id"), f"{work}/one")
     n = one.count()
     words, ids = bloom(one, "sid", n), bloom(one.where("doc_id is not null"), "doc_id", n)
 
@@ -209,7 +209,7 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 def _possible(sets: DataFrame, pairs: DataFrame, percent: int, work: str) -> DataFrame:
     """The pairs that their counts by range of hashes leave possible."""
-    told = materialise(sets.join(_ends(pairs), "sid", "left_semi").groupBy("sid").agg(F.first("n").alias("n"), F.first("counts").alias("counts")), f"{work}/counts")
+    told = materialise(sets.join(_ends(pairs), "sid", "left_semi").select("sid", "n", "counts"), f"{work}/counts")
     side = lambda x, n, c: told.select(F.col("sid").alias(x), F.col("n").alias(n), F.col("counts").alias(c))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,7 +276,7 @@ def _scan(apart: DataFrame, size: DataFrame, sets: DataFrame, light: int, percen
     smallest key, as far as their FIRST_KEYS smallest keys tell; the smallest shared key always gives it.
     """
     wanted = apart.select("sid").distinct()
-    counts = sets.join(wanted, "sid", "left_semi").groupBy("sid").agg(F.first("counts").alias("counts"))
+    counts = sets.join(wanted, "sid", "left_semi").select("sid", "counts")
     first = apart.groupBy("sid").agg(F.slice(F.array_sort(F.collect_list("key")), 1, FIRST_KEYS).alias("first"))
     blocks = F.ceil(F.col("k") / F.lit(LIST_BLOCK)).cast("int")
     met = apart.join(size.select("key", blocks.alias("blocks")), "key").join(counts, "sid").join(first, "sid")
@@ -397,10 +397,13 @@ def _rows(ok: np.ndarray, most: int = 1 << 13) -> Iterator[tuple[np.ndarray, np.
 
 
 def similar_sets(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, sid, n) of every document, and (u, root): components of linked set ids."""
+    """(doc_id, sid, n) of every document, and (sid, doc_id, root): each set with its least document and component."""
     told = materialise(set_table(docs, k), "jaccard-sets")
     sets = told.where("part is null")
     rows = sets.select("doc_id", "sid", "n")
+    # a row a set, however many documents have it
+    each = sets.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("counts").alias("counts"))
+    each = materialise(each, "jaccard-each")
     histogram = {r["n"]: r["count"] for r in rows.where("n > 0 and n <= 64").groupBy("n").count().collect()}
     light = boundary(histogram, percent)
 
@@ -442,28 +445,27 @@ def similar_sets(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tup
             pairs = apart.join(head, "key").where((F.col("root") != F.col("root2")) & fits)
             pairs = pairs.select(F.least("sid", "sid2").alias("u"), F.greatest("sid", "sid2").alias("v")).distinct()
             pairs = tested = materialise(pairs, "jaccard-pairs")
-            pairs, more = _possible(sets, pairs, percent, work), True
+            pairs, more = _possible(each, pairs, percent, work), True
         else:
-            scanned = materialise(_scan(apart, split, sets, light, percent, best), "jaccard-pairs")
+            scanned = materialise(_scan(apart, split, each, light, percent, best), "jaccard-pairs")
             more = bool(scanned.where("more").limit(1).count())
             pairs = scanned.where("u is not null").select("u", "v").join(tested, ["u", "v"], "left_anti")
             tested = tested.union(scanned.where("u is not null").select("u", "v"))
-        new = materialise(_verified(docs, k, sets, pairs, percent, work), "jaccard-links")
+        new = materialise(_verified(docs, k, each, pairs, percent, work), "jaccard-links")
         discard(docs.sparkSession, work)
         if new.limit(1).count():
             # what is known already is a forest of stars
             found, linked = components(found.select("u", F.col("root").alias("v")).union(new)), True
         if not more:
             break
-    return rows, found
+    return rows, each.select("sid", "doc_id").join(found, F.col("sid") == F.col("u"), "left").select("sid", "doc_id", F.coalesce("root", "sid").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, k: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every document."""
-    rows, found = similar_sets(docs.select(F.col(id_col).alias("doc_id"), "text"), k, percent)
-    own = rows.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("own"))
-    own = materialise(own.join(found, own["sid"] == found["u"], "left").select("sid", "own", F.coalesce("root", "sid").alias("root")), "jaccard-roots")
-    least = own.groupBy("root").agg(F.min("own").alias("least"))
+    rows, own = similar_sets(docs.select(F.col(id_col).alias("doc_id"), "text"), k, percent)
+    own = materialise(own, "jaccard-roots")
+    least = own.groupBy("root").agg(F.min("doc_id").alias("least"))
     least = materialise(hot_join(own.select("sid", "root"), least, "root").select("sid", "least"), "jaccard-least")
     # sets without shingles all have the id 0, which least doesn't hold
     return hot_join(rows, least, "sid").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
