@@ -196,10 +196,16 @@ def analysis(ipa: pd.Series, lang: pd.Series, source: pd.Series, reference: pd.S
     )
 
 
+# Else filters on its result move below shuffles and distincts, and it runs again for each, on more rows.
+analysis = analysis.asNondeterministic()
+
 _TURN = str.maketrans({**inv.MIRRORED, **{v: k for k, v in inv.MIRRORED.items()}})
+_TURNED = frozenset(map(chr, _TURN))
 _BLANKS = [chr(c) for c in (*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 
 
+_ESCAPES = str.maketrans({c: f"\\u{{{ord(c):x}}}" for c in _BLANKS} | {"\\": "\\\\"})
+_ESCAPED = regex.compile(r"\\(?:(\\)|u\{([0-9a-f]+)\})")
 _SPECIAL = "[" + "\\\\" + "".join(f"\\x{{{ord(c):x}}}" for c in _BLANKS) + "]"
 
 
@@ -239,15 +245,14 @@ def py_encode(tokens: list[str] | tuple[str, ...]) -> str:
     def field(t: str) -> str:
         if not t:
             raise ValueError("an empty token")
-        t = (t.translate(_TURN) if len(t) == 1 else t).replace("\\", "\\\\")
-        return "".join(f"\\u{{{ord(c):x}}}" if c in _BLANKS else c for c in t)
+        return t.translate(_TURN) if len(t) == 1 and t in _TURNED else t.translate(_ESCAPES)
 
     return " ".join(map(field, reversed(tokens)))
 
 
 def py_decode(key: str) -> tuple[str, ...]:
     def token(f: str) -> str:
-        t = regex.sub(r"\\(?:(\\)|u\{([0-9a-f]+)\})", lambda m: m[1] or chr(int(m[2], 16)), f)
+        t = _ESCAPED.sub(lambda m: m[1] or chr(int(m[2], 16)), f) if "\\" in f else f
         return t.translate(_TURN) if len(t) == 1 else t
 
     if not key:
@@ -256,3 +261,33 @@ def py_decode(key: str) -> tuple[str, ...]:
     if not all(found) or py_encode(found) != key:
         raise ValueError(f"not a canonical key: {key!r}")
     return found
+
+
+class Key(str):
+    """A spelling's key: reversed, it gives the spelling."""
+
+
+def py_reverse(ipa: str, lang: str, source: str = "wiktionary", reference: str | None = None) -> str:
+    """A spelling to its key, and a key back to its spelling."""
+    if isinstance(ipa, Key):
+        return "".join(py_decode(ipa))
+    return Key(py_encode(analyze_source(ipa, lang, source, reference)[0].tokens))
+
+
+class NotRestored(ValueError):
+    """A key that doesn't give its spelling back, with what it gave."""
+
+    def __init__(self, ipa: str, key: str, restored: str | None):
+        super().__init__(f"{key!r} restores {restored!r}, not {ipa!r}")
+        self.ipa, self.key, self.restored = ipa, key, restored
+
+
+def py_verified_key(ipa: str, tokens: tuple[str, ...]) -> str:
+    key, restored = py_encode(tokens), None
+    try:
+        restored = "".join(py_decode(key))
+    except ValueError:
+        pass
+    if restored != ipa:
+        raise NotRestored(ipa, key, restored)
+    return key

@@ -17,15 +17,12 @@ CONSONANTS = {
     "de": "b c d f g h j k l m n p q r s t v w x z ç ð β ɓ ɕ ɟ ɡ ɣ ɥ ɦ ɫ ɬ ɮ ɱ ɲ ɴ ɸ ɹ ɺ ɽ ɾ ʀ ʁ ʂ ʃ ʈ ʋ ʎ ʑ ʒ ʔ ʕ ʝ ʟ ʙ θ χ ŋ ħ ɰ ʦ ʧ ǀ ǁ ǃ pf ts tʃ dʒ p͡f t͡s t͡ʃ d͡ʒ p͜f t͜s t͜ʃ d͜ʒ".split(),
     "tr": "b c d f g h j k l m n p q r s t v w x z ç β ɕ ɟ ɡ ɣ ɥ ɦ ɫ ɰ ɱ ɲ ɳ ɸ ɹ ɾ ł ʀ ʁ ʃ ʈ ʋ ʎ ʑ ʐ ʒ ʔ ʕ ʝ θ χ ŋ ʧ ʤ ǀ ǁ ǃ tʃ dʒ t͡ʃ d͡ʒ t͜ʃ d͜ʒ".split(),
 }
-STRESS = "\u02c8\u02cc"
-SEPARATORS = "".join(map(chr, (0x20, 0x2E, 0x2F, 0x5B, 0x5D, 0x28, 0x29, 0x27E8, 0x27E9, 0x207D, 0x207E, 0x7C, 0x203F, 0x2040, 0x2016, 0x2AFD, 0xFE0E)))
-PROSODY = "".join(map(chr, (0x2E5, 0x2E6, 0x2E7, 0x2E8, 0x2E9, 0xB9, 0xB2, 0xB3, 0x2074, 0x2075, 0x207B, 0x2197, 0x2198, 0x2191, 0x2193, 0xA71B, 0xA71C)))
-POSTFIX = "".join(
-    chr(int(x, 16))
-    for x in "003A 02D0 02D1 0306 032F 0303 0325 032C 0329 032A 033A 033B 031D 031E 0318 0319 031A 0330 0324 0339 031C 031F 0320 033C 033D"
-    " 02C0 02D4 02ED 02B0 02B1 02B2 02E0 02E4 02B4 02B7 207F 02E1 02DE 02B3 02B5 02B6 02E3 02D5 02D6 1D48 1D4F 1D50 1D5D 1DA6 1DB4".split()
-)
-PREFIX = "".join(chr(int(x, 16)) for x in "02C0 02B0 02B1 02B2 02E0 02E4 02B7 207F 02E1 1D48 1D4F 1D50".split())
+STRESS = "ˈˌ"
+SEPARATORS = " ./[]()⟨⟩⁽⁾|‿⁀‖⫽\ufe0e"
+PROSODY = "˥˦˧˨˩¹²³⁴⁵⁻↗↘↑↓ꜛꜜ"
+# the combining marks by their code points
+POSTFIX = ":ːˑ\u0306\u032f\u0303\u0325\u032c\u0329\u032a\u033a\u033b\u031d\u031e\u0318\u0319\u031a\u0330\u0324\u0339\u031c\u031f\u0320\u033c\u033dˀ˔˭ʰʱʲˠˤʴʷⁿˡ˞ʳʵʶˣ˕˖ᵈᵏᵐᵝᶦᶴ"
+PREFIX = "ˀʰʱʲˠˤʷⁿˡᵈᵏᵐ"
 TIES = "\u035c\u0361\u200d"
 CODEC_PREFIX = PREFIX + "ᵑᶮ"
 CODEC_POSTFIX = POSTFIX + "ʼ"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import lru_cache
 
 import pandas as pd
@@ -20,6 +21,11 @@ def nfc(text: pd.Series) -> pd.Series:
     return text.str.normalize("NFC")
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of the value, which is computed once however often f names it."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, f"^{WHITESPACE}+|{WHITESPACE}+$", "")
 
@@ -51,6 +57,12 @@ def unknown(found: Column, lang: str) -> Column:
     return F.filter(found, lambda t: ~t.rlike(inv.known_pattern(lang)))
 
 
+def known(found: Column, lang: str) -> Column:
+    """The tokens; an error that names the first one outside the language's inventory."""
+    strange = unknown(found, lang)
+    return F.when(F.size(strange) > 0, F.raise_error(F.concat(F.lit(f"{lang}: unrecognized sound: "), strange[0]))).otherwise(found)
+
+
 def phonemes(found: Column) -> Column:
     return F.filter(found, lambda t: ~is_marker(t))
 
@@ -71,11 +83,14 @@ def misplaced_stress(found: Column, lang: str) -> Column:
 
 def rhyme_tail(found: Column, lang: str) -> Column:
     """From the first nucleus after the last stress mark, without tone marks; empty without one."""
-    classes = _classes(found, lang)
-    last = F.length(classes) - F.locate("S", F.reverse(classes)) + 1
-    nucleus = F.locate("N", F.substr(classes, last + 1))
-    tail = F.filter(F.slice(found, last + nucleus, F.size(found)), lambda t: ~is_marker(t))
-    return F.when((F.locate("S", classes) > 0) & (nucleus > 0), tail).otherwise(F.array().cast("array<string>"))
+
+    def cut(classes: Column) -> Column:
+        last = F.length(classes) - F.locate("S", F.reverse(classes)) + 1
+        nucleus = F.locate("N", F.substr(classes, last + 1))
+        tail = F.filter(F.slice(found, last + nucleus, F.size(found)), lambda t: ~is_marker(t))
+        return F.when((F.locate("S", classes) > 0) & (nucleus > 0), tail).otherwise(F.array().cast("array<string>"))
+
+    return let(_classes(found, lang), cut)
 
 
 @lru_cache(None)
@@ -118,23 +133,30 @@ def py_rhyme_tail(found: list[str], lang: str) -> list[str]:
 
 def edit_distance(left: Column, right: Column) -> Column:
     """Levenshtein distance of token arrays: tokens become private-use letters for the built-in function."""
-    vocabulary = F.array_distinct(F.concat(left, right))
-    letter = lambda t: F.decode(F.unhex(F.lpad(F.hex(F.array_position(vocabulary, t) + F.lit(0xE000)), 4, "0")), "UTF-16BE")
-    word = lambda a: F.array_join(F.transform(a, letter), "")
-    return F.levenshtein(word(left), word(right))
+
+    def coded(vocabulary: Column) -> Column:
+        letter = lambda t: F.decode(F.unhex(F.lpad(F.hex(F.array_position(vocabulary, t) + F.lit(0xE000)), 4, "0")), "UTF-16BE")
+        word = lambda a: F.array_join(F.transform(a, letter), "")
+        return F.levenshtein(word(left), word(right))
+
+    return let(F.array_distinct(F.concat(left, right)), coded)
 
 
 def compare(source: Column, engine: Column, lang: str) -> Column:
     """How a source pronunciation's tokens differ from an engine's."""
-    a, b = phonemes(source), phonemes(engine)
-    edits, longest = edit_distance(a, b), F.greatest(F.size(a), F.size(b))
-    left, right = rhyme_tail(source, lang), rhyme_tail(engine, lang)
-    return F.struct(
-        edits.alias("phoneme_edits"), F.when(longest > 0, edits / longest).otherwise(0.0).alias("phoneme_distance_ratio"),
-        F.size(a).alias("wiktionary_phoneme_count"), F.size(b).alias("espeak_phoneme_count"),
-        left.alias("wiktionary_rhyme_tail"), right.alias("espeak_rhyme_tail"),
-        ((F.size(left) > 0) & (F.size(right) > 0) & (left == right)).alias("rhyme_tail_matches"),
-    )
+
+    def told(x: Column) -> Column:
+        edits, longest = x["edits"], F.greatest(F.size(x["a"]), F.size(x["b"]))
+        left, right = x["left"], x["right"]
+        return F.struct(
+            edits.alias("phoneme_edits"), F.when(longest > 0, edits / longest).otherwise(0.0).alias("phoneme_distance_ratio"),
+            F.size(x["a"]).alias("wiktionary_phoneme_count"), F.size(x["b"]).alias("espeak_phoneme_count"),
+            left.alias("wiktionary_rhyme_tail"), right.alias("espeak_rhyme_tail"),
+            ((F.size(left) > 0) & (F.size(right) > 0) & (left == right)).alias("rhyme_tail_matches"),
+        )
+
+    both = F.struct(phonemes(source).alias("a"), phonemes(engine).alias("b"), rhyme_tail(source, lang).alias("left"), rhyme_tail(engine, lang).alias("right"))
+    return let(both, lambda x: let(F.struct(x["a"].alias("a"), x["b"].alias("b"), x["left"].alias("left"), x["right"].alias("right"), edit_distance(x["a"], x["b"]).alias("edits")), told))
 
 
 def extreme(c: Column, threshold: float = 0.8) -> Column:

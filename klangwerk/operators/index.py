@@ -20,17 +20,23 @@ def build_index(pronunciations: DataFrame, strict: bool = True) -> DataFrame:
     parts = int(pronunciations.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     told = pronunciations.repartition(parts, "lang", "word").withColumn("a", codec.analysis("ipa", "lang", "source", ref))
     told = told.withColumn("ipa_reversed", F.col("a.key"))
-    keys = F.coalesce(*[F.when(F.col("lang") == lang, tk.assonance_key(_normal(lang), lang)) for lang in inv.LANGUAGES])
-    told = told.withColumn("assonance_reversed", keys)
+    told = told.withColumn("n__", tk.nfc("ipa"))
+    engine = F.col("source").startswith("espeak")
+    sounds = lambda lang: F.when(engine, tk.tokens(F.col("n__"), lang, espeak=True, normalised=True)).otherwise(tk.tokens(F.col("n__"), lang, normalised=True))
+    told = told.withColumn("t__", F.coalesce(*[F.when(F.col("lang") == lang, sounds(lang)) for lang in inv.LANGUAGES]))
+    told = told.withColumn("assonance_reversed", F.coalesce(*[F.when(F.col("lang") == lang, tk.assonance_key(F.col("t__"), lang)) for lang in inv.LANGUAGES]))
     if strict:
         bad = F.exists("a.issues", lambda i: i["reason"].isin("unknown", "no_segment")) | ~F.col("a.restores")
         told = told.withColumn("ok", F.assert_true(~bad, F.concat_ws(" ", F.lit("not indexable:"), "lang", "word", "ipa"))).where("ok is null")
-    return told.select("lang", "source", "word", "ipa", "ipa_reversed", "assonance_reversed", F.col("a.tokens").alias("tokens"), F.col("a.issues").alias("issues"), F.col("a.evidence").alias("evidence"))
+    return told.select("lang", "source", "word", "ipa", "ipa_reversed", "assonance_reversed", F.col("a.tokens").alias("tokens"), F.col("a.segments").alias("segments"), F.col("a.issues").alias("issues"), F.col("a.evidence").alias("evidence"))
 
 
-def _normal(lang: str) -> Column:
-    engine = F.col("source").startswith("espeak")
-    return F.when(engine, tk.tokens(F.col("ipa"), lang, espeak=True)).otherwise(tk.tokens(F.col("ipa"), lang))
+def admit(dictionary: DataFrame) -> DataFrame:
+    """The dictionary, if no row repeats another's word and spelling."""
+    twice = duplicates(dictionary).first()
+    if twice:
+        raise ValueError(f"{twice.lang}, {twice.source}: {twice.word!r} {twice.ipa!r} is there {twice['count']} times")
+    return dictionary
 
 
 def duplicates(pronunciations: DataFrame) -> DataFrame:
@@ -52,6 +58,12 @@ def rhymes(index: DataFrame, tokens: str, wrapped: bool = True) -> DataFrame:
     return index.where(cond)
 
 
+def assonant(index: DataFrame, vowels: str, whole: bool = True) -> DataFrame:
+    """Entries with just these vowels (in reversed order), or with these last ones."""
+    key = F.col("assonance_reversed")
+    return index.where(key == vowels if whole else prefix(key, vowels))
+
+
 def tail(key: Column, fields: int) -> Column:
     """The last sounds of a key without its wrapper, for equi-joins instead of prefix self joins."""
     parts = F.filter(F.split(key, " "), lambda x: ~x.isin("/", "[", "]"))

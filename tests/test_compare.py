@@ -38,9 +38,9 @@ def test_all_words_compared(spark, tmp_path):
             variants[d / n, d, k] = v
         near[lang, w] = variants[min(variants)]
     run = lambda name: registry.QUERIES[name](spark, str(tmp_path)).collect()
-    assert {(r.lang, r.word): (r.phoneme_edits, round(r.phoneme_distance_ratio, 9)) for r in run("phoneme_distance_all")} == far
-    assert {(r.lang, r.extreme): r.words for r in run("extreme_mismatch_all")} == extreme
-    assert {(r.lang, r.word): r.closest for r in run("closest_variant_all")} == near
+    assert {(r.lang, r.word): (r.phoneme_edits, round(r.phoneme_distance_ratio, 9)) for r in run("phoneme_distance")} == far
+    assert {(r.lang, r.extreme): r.words for r in run("extreme_mismatch")} == extreme
+    assert {(r.lang, r.word): r.closest for r in run("closest_variant")} == near
 
 
 def test_first_of_equally_close(spark):
