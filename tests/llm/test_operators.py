@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from klangwerk.llm import ann, chat, decontam, exactdup, jaccard, langid, linededup, mixing, quality, sitetree, suffix
 
@@ -223,6 +224,57 @@ def test_pages(spark):
     assert out[1] == "T & t\n\none two\n\nthree" and out[2] == out[3] == "" and out[12] == "text 2"
 
 
+def test_marks():
+    text = lambda html: sitetree.Page(html).main_text()
+    assert text('<p title="a hidden gem">one</p><p data-hidden="false">two</p><p hidden>no</p>') == "one\n\ntwo"
+    assert text('<article><div class="alert">one</div><div id="search-results-discussion">two</div><div class="comments">no</div></article>') == "one\n\ntwo"
+    assert text('<div class="alert">no</div><p>one <button>no</button> more</p>') == "one more"
+    # a teaser doesn't stand for the page
+    assert text(f"<article><p>short</p></article><div><p>{'long ' * 20}</p></div>") == f"short\n\n{('long ' * 20).strip()}"
+
+
+def brute_importance(pages):
+    """By host and path, from the pages' features: equal pages once."""
+    seen, nodes = set(), {}
+    for host, html in pages:
+        page = sitetree.Page(html)
+        for path, style, content in page.features():
+            if (host, path, page.unmarked()) not in seen:
+                seen.add((host, path, page.unmarked()))
+                nodes.setdefault((host, path), []).append((style, content))
+    out = {}
+    for at, rows in nodes.items():
+        h = []
+        for i in (0, 1):
+            values = [r[i] for r in rows if r[i]]
+            p = [values.count(v) / len(values) for v in set(values)]
+            h.append(0.0 if not values else -sum(x * np.log(x) for x in p) / np.log(len(values)) if len(values) > 1 else 1.0)
+        out[at] = (1 + len(rows) * max(h)) / (1 + len(rows))
+    return out
+
+
+def test_site_tree(spark):
+    # boilerplate without telling names, on pages with and without landmarks; near copies of a page, and a small host
+    def page(i, host, copy=None):
+        j = i if copy is None else copy
+        body = f"<h1>title {j % 3}</h1><p>text {j} of its own</p><div class=x1><p>read all on this site</p></div>"
+        main = f"<article>{body}</article>" if host != "h2" else f"<div class=c>{body}</div>"
+        return host, f"<html><body><div class=top><p>the same</p><ul><li>a<li>b</ul></div>{main}<div class=y>c {i % 2}</div><script>{i}</script></body></html>"
+
+    pages = [page(i, "h1") for i in range(30)] + [page(100 + i, "h1", 5) for i in range(20)] + [page(i, "h2") for i in range(20)] + [page(i, "h3") for i in range(2)]
+    df = spark.createDataFrame([(i, f"https://{h}/p{i}", html) for i, (h, html) in enumerate(pages)] + [(3, "https://h1/p3", pages[3][1]), (None, None, None)], "page_id long, url string, html string")
+    hosts = df.select(F.regexp_extract("url", "//([^/]*)", 1).alias("host"), "html")
+    tree = {(r.host, r.node): r.importance for r in sitetree.importance(sitetree.site_nodes(hosts)).collect()}
+    want = brute_importance(pages)
+    assert len(tree) == len(want) and all(abs(tree[h, sitetree._digest(p.encode())] - v) < 1e-9 for (h, p), v in want.items())
+    out = {r.page_id: r.text for r in sitetree.extract(df.withColumn("low", F.lit("x")).withColumn("host", F.lit("y"))).collect()}
+    assert out[7] == "title 1\n\ntext 7 of its own" and out[33] == "title 2\n\ntext 5 of its own"  # the tree takes the box out of the article
+    # without landmarks a host's three titles and two footers tell enough pages apart to stay, what all share goes
+    assert out[52] == "title 2\n\ntext 2 of its own\n\nc 0"
+    assert "read all on this site" in out[70] and "the same" in out[70] or out[70].startswith("title")  # two pages prove nothing
+    assert len(out) == len(pages) + 1 and out[None] == ""
+
+
 def test_unclosed_markup():
     text = lambda html: sitetree.Page(html).main_text()
     assert text("<html><head><title>t</title><meta charset=utf-8><body><p>one</p>") == "one"
