@@ -2,10 +2,8 @@
 
 A HyperLogLog sketch of the sites of each line hash is merged by aggregation, so a line that holds a
 third of all rows still sends one small sketch a task. Estimates that are near the threshold are
-replaced by exact distinct counts. A line that reaches the threshold is cut from every document,
-except from one of which such lines make up more than `max_share`; so the query's SQL has it. With
-`whole_only` such a document is cut as well, as it may have content of its own: only those of which
-every line spreads stay. They are copies of a whole, which are left to the near-duplicate operator.
+replaced by exact distinct counts. A line that reaches the threshold is cut from every document but
+those of which every line does: they are copies of a whole, which are left to the near-duplicate operator.
 
 Cases: null text has no lines and stays null; blank lines never count and stay; a null site counts
 for no line; repeated rows and ties change nothing, as a line's fate depends on its content alone;
@@ -20,7 +18,6 @@ from pyspark.sql import functions as F
 from klangwerk.llm.store import materialise, table
 
 MIN_SITES = 10
-MAX_SHARE = 0.5
 #: 2**8 registers: a standard error of 6.5 %; the exact band is over three of them wide.
 LG_K = 8
 BAND = 0.25
@@ -43,7 +40,7 @@ def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, site_col: str = "so
 
 
 def line_dedup(
-    docs: DataFrame, min_sites: int = MIN_SITES, max_share: float = MAX_SHARE, id_col: str = "doc_id", site_col: str = "source", whole_only: bool = False
+    docs: DataFrame, min_sites: int = MIN_SITES, id_col: str = "doc_id", site_col: str = "source"
 ) -> DataFrame:
     """docs with `text` cut, plus lines_total and lines_removed."""
     docs = docs.drop("lines_total", "lines_removed")
@@ -54,13 +51,10 @@ def line_dedup(
     met = docs.join(hits, F.col(id_col).eqNullSafe(F.col("id__")), "left")
     lines = F.split("text", "\n")
     out = lambda x: (_line(x) != "") & F.array_contains("hits__", F.xxhash64(_line(x)))
-    length = lambda xs: F.aggregate(xs, F.lit(0), lambda a, x: a + F.length(x))
     touched = F.col("hits__").isNotNull()
     cut = met.withColumn("gone__", F.when(touched, F.filter(lines, out)))
-    sparing = length(F.col("gone__")) <= F.length("text") * F.lit(max_share)
-    if whole_only:
-        sparing = sparing | F.exists(lines, lambda x: (_line(x) != "") & ~out(x))
-    cut = cut.withColumn("cut__", F.coalesce(touched & sparing, F.lit(False)))
+    own_line = F.exists(lines, lambda x: (_line(x) != "") & ~out(x))
+    cut = cut.withColumn("cut__", F.coalesce(touched & own_line, F.lit(False)))
     kept = F.array_join(F.filter(lines, lambda x: ~out(x)), "\n")
     return cut.select(
         *[(F.when(F.col("cut__"), kept).otherwise(F.col("text")).alias("text") if c == "text" else F.col(c)) for c in docs.columns],
@@ -80,11 +74,11 @@ lines AS (SELECT doc_id, source, unnest(string_split(t, chr(10))) AS line, gener
 wide AS (SELECT trim(line, ' ') AS line FROM lines WHERE trim(line, ' ') <> '' GROUP BY 1 HAVING count(DISTINCT source) >= {MIN_SITES}),
 marked AS (SELECT l.*, w.line IS NOT NULL AS hit FROM lines l LEFT JOIN wide w ON trim(l.line, ' ') = w.line),
 sums AS (
-  SELECT doc_id, count(*) AS n, count(*) FILTER (hit) AS cut, coalesce(sum(length(line)) FILTER (hit), 0) AS c,
+  SELECT doc_id, count(*) AS n, count(*) FILTER (hit) AS cut, count(*) FILTER (NOT hit AND trim(line, ' ') <> '') AS own,
     coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT hit), '') AS kept
   FROM marked GROUP BY doc_id)
 SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS lines_total,
-  CAST(CASE WHEN c <= {MAX_SHARE} * length(t) THEN cut ELSE 0 END AS BIGINT) AS lines_removed,
-  sha256(CASE WHEN c <= {MAX_SHARE} * length(t) THEN kept ELSE t END) AS kept_sha256
+  CAST(CASE WHEN own > 0 THEN cut ELSE 0 END AS BIGINT) AS lines_removed,
+  sha256(CASE WHEN own > 0 THEN kept ELSE t END) AS kept_sha256
 FROM docs d LEFT JOIN sums s USING (doc_id)
 """
