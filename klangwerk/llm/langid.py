@@ -29,11 +29,11 @@ SAMPLE_DOCS = 300
 DICT_BYTES = 64 << 10
 #: Lower levels find too few of the short matches that tell languages apart.
 LEVEL = 9
-#: A text of MIN_BYTES bytes of letters or more is rejected where the runner-up is larger by less than
-#: this share of them. Outputs of shorter texts often tie, which says nothing against the text. What a
-#: dictionary saves stops growing once a text is longer than it, so the share is of DICT_BYTES at most.
+#: A text is rejected where the runner-up is not larger by more than this share of the bytes that a
+#: dictionary can speak to, which are no more than it has itself. Outputs are whole bytes: half a byte of
+#: a difference is noise, so what is less says nothing against a text.
 MIN_MARGIN = 0.002
-MIN_BYTES = 64
+ROUNDING = 0.5
 UND = "und"
 _OTHER = re.compile(r"[\W\d_]+")
 
@@ -46,7 +46,7 @@ def letters(text: str | None) -> bytes:
 
 
 def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DICT_BYTES) -> dict[str, bytes]:
-    """A dictionary a language, from documents with the smallest hashes of their ids (of their texts, where the id is null).
+    """A dictionary a language, from documents with the smallest hashes of their ids and texts.
 
     The share of documents that is read follows from the count of each language, so the driver gets
     about sample_docs texts a language and no sort is needed.
@@ -56,8 +56,9 @@ def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DIC
     if not counts:
         return {}
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, sample_docs / n))])
-    spot = F.pmod(F.xxhash64(F.lit(1), F.coalesce(F.col("doc_id").cast("string"), "text")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    picked = known.where(spot < share[F.col("lang")]).select("lang", "text", spot.alias("spot"))
+    spot = F.pmod(F.xxhash64(F.lit(1), "doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    # of a text no more than a dictionary holds; equal rows count once
+    picked = known.where(spot < share[F.col("lang")]).select("lang", F.left("text", F.lit(dict_bytes)).alias("text"), spot.alias("spot")).distinct()
     by: dict[str, list[tuple[float, bytes]]] = {}
     for r in picked.toLocalIterator():
         by.setdefault(r["lang"], []).append((r["spot"], letters(r["text"])))
@@ -88,9 +89,10 @@ class Classifier:
         if not data or not self.coders:
             return UND, 0.0, True
         sizes = sorted((len(c.compress(data)), i) for i, c in enumerate(self.coders))
-        margin = (sizes[1][0] - sizes[0][0]) / min(len(data), DICT_BYTES) if len(sizes) > 1 else 1.0
+        reach = min(len(data), DICT_BYTES)
+        ahead = sizes[1][0] - sizes[0][0] if len(sizes) > 1 else reach
         # two sizes as probabilities of the same text: the difference in bytes, at a bit of evidence each
-        return self.langs[sizes[0][1]], 1 / (1 + math.exp(-min(50.0, margin * 40))), len(data) >= MIN_BYTES and margin < MIN_MARGIN
+        return self.langs[sizes[0][1]], 1 / (1 + math.exp(-min(50.0, ahead / reach * 40))), ahead + ROUNDING < MIN_MARGIN * reach
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
