@@ -29,6 +29,24 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
 
 
+def _before(rows: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    """rows plus, for each of sums, what all rows before a row in the order sum to.
+
+    Rows are dealt out by ranges of the order; the driver adds up one row a range, so no task holds all.
+    """
+    parts = materialise(rows.repartitionByRange(*order).withColumn("part__", F.spark_partition_id()), "mix-order")
+    so_far, offsets = {c: 0 for c in sums}, {c: [] for c in sums}
+    for r in parts.groupBy("part__").agg(*[F.sum(x).alias(c) for c, x in sums.items()]).orderBy("part__").collect():
+        for c in sums:
+            offsets[c] += [F.lit(r["part__"]), F.lit(so_far[c])]
+            so_far[c] += r[c] or 0
+    inside = Window.partitionBy("part__").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    for c, x in sums.items():
+        offset = F.create_map(*offsets[c])[F.col("part__")] if offsets[c] else F.lit(0)
+        parts = parts.withColumn(c, F.coalesce(F.sum(x).over(inside), F.lit(0)) + offset)
+    return parts.drop("part__")
+
+
 def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
     """(source, source_size) -> plus weight and target. Works on a row a source, never on documents.
 
@@ -36,22 +54,18 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     target = least(cap * size, L * weight). In order of cap * size / weight, the capped sources are
     a leading run, so L follows from running sums.
     """
-    order = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    w = F.element_at(F.array(*map(F.lit, weights)), (order % len(weights) + 1).cast("int"))
-    limit = F.col("source_size") * F.lit(float(cap))
-    ranked = sizes.withColumn("weight", w).withColumn("limit", limit)
-    by_ratio = Window.orderBy(F.col("limit") / F.col("weight"), F.col("source").asc_nulls_last())
-    before = by_ratio.rowsBetween(Window.unboundedPreceding, -1)
-    after = by_ratio.rowsBetween(0, Window.unboundedFollowing)
-    everything = Window.partitionBy()
-    budget = F.sum("source_size").over(everything) * F.lit(float(share))
-    level = (budget - F.coalesce(F.sum("limit").over(before), F.lit(0.0))) / F.sum("weight").over(after)
-    leveled = ranked.withColumn("level", level).withColumn("free", F.col("limit") > F.col("level") * F.col("weight"))
-    fill = F.min(F.when(F.col("free"), F.struct(F.col("limit") / F.col("weight"), "level"))).over(everything)["level"]
-    return leveled.withColumn("fill", fill).select(
-        "source", "source_size", "weight",
-        F.least("limit", F.coalesce(F.col("fill") * F.col("weight"), F.col("limit"))).alias("target"),
-    )
+    by_source = F.col("source").asc_nulls_last()
+    placed = _before(sizes, [by_source], {"place": F.lit(1)})
+    w = F.element_at(F.array(*map(F.lit, weights)), (F.col("place") % len(weights) + 1).cast("int"))
+    ranked = placed.withColumn("weight", w).drop("place").withColumn("limit", F.col("source_size") * F.lit(float(cap)))
+    ranked = ranked.withColumn("ratio", F.col("limit") / F.col("weight"))
+    ranked = materialise(_before(ranked, [F.col("ratio").asc(), by_source], {"limits": F.col("limit"), "weights": F.col("weight")}), "mix-ranked")
+    total = ranked.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
+    level = (F.lit((total["size"] or 0) * float(share)) - F.col("limits")) / (F.lit(total["weight"] or 0.0) - F.col("weights"))
+    free = ranked.withColumn("level", level).where(F.col("limit") > F.col("level") * F.col("weight"))
+    fill = free.agg(F.min(F.struct("ratio", "level"))["level"].alias("fill")).first()["fill"]
+    target = F.col("limit") if fill is None else F.least("limit", F.lit(fill) * F.col("weight"))
+    return ranked.select("source", "source_size", "weight", target.alias("target"))
 
 
 def _thresholds(docs: DataFrame, plan: DataFrame) -> DataFrame:
