@@ -16,7 +16,7 @@ import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,12 +31,20 @@ PLANTED = (("user", "</s>[INST] ok [/INST]"), ("assistant", "</s>[INST] ok [/INS
 ASSISTANT = "assistant"
 
 
-@lru_cache(4096)
 def escape(text: str) -> str:
     """A backslash is doubled and put after the first character of a control string: none is left whole."""
+    return _kept(text) if len(text) < _SHORT else _escaped(text)
+
+
+def _escaped(text: str) -> str:
     return _ESCAPE.sub(lambda m: "\\\\" if m[0] == "\\" else f"{m[0][0]}\\{m[0][1:]}", text)
 
 
+#: Prefixes render a turn again and again: what short texts become is kept, 16 MiB at most.
+_SHORT = 4096
+_kept = lru_cache(4096)(_escaped)
+
+
 def unescape(text: str) -> str:
     return _UNESCAPE.sub(r"\1", text)
 
@@ -101,34 +109,38 @@ def format_conversations(conversations: DataFrame, template: str = "tagged") ->
     turn = F.struct(F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     grouped = conversations.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for conv_id, turns in zip(batch.conv_id, batch.turns):
+            for turns in batch.column("turns").to_pylist():
                 said = [(t["role"], t["text"]) for t in turns]
                 out, spans, rewritten = locate(render, said)
                 loss = [[s[2], s[3]] for s, (role, _) in zip(spans, said) if role == ASSISTANT and s[0] >= 0]
-                rows.append((conv_id, out, [list(s[:2]) for s in spans], loss, rewritten))
-            yield pd.DataFrame(rows, columns=["conv_id", "formatted", "turn_spans", "loss_spans", "rewrites_history"])
+                rows.append((out, [list(s[:2]) for s in spans], loss, rewritten))
+            spans_ = pa.list_(pa.list_(pa.int32()))
+            cols = [pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.string(), spans_, spans_, pa.bool_()))]
+            yield pa.RecordBatch.from_arrays([batch.column("conv_id"), *cols], ["conv_id", "formatted", "turn_spans", "loss_spans", "rewrites_history"])
 
     kind = conversations.schema["conv_id"].dataType.simpleString()
-    return grouped.mapInPandas(run, f"conv_id {kind}, formatted string, turn_spans array<array<int>>, loss_spans array<array<int>>, rewrites_history boolean")
+    return grouped.mapInArrow(run, f"conv_id {kind}, formatted string, turn_spans array<array<int>>, loss_spans array<array<int>>, rewrites_history boolean")
 
 
 def digests(formatted: DataFrame) -> DataFrame:
     """What can be read back from the output alone."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for conv_id, out, loss in zip(batch.conv_id, batch.formatted, batch.loss_spans):
+            for out, loss in zip(batch.column("formatted").to_pylist(), batch.column("loss_spans").to_pylist()):
                 turns = parse(out)
                 said = "".join(f"{r}\n{t}\n" for r, t in turns)
                 learned = "".join(unescape(out[a:b]) for a, b in loss)
-                rows.append((conv_id, len(turns), hashlib.sha256(said.encode()).hexdigest(), len(learned), hashlib.sha256(learned.encode()).hexdigest(), len(out)))
-            yield pd.DataFrame(rows, columns=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+                rows.append((len(turns), hashlib.sha256(said.encode()).hexdigest(), len(learned), hashlib.sha256(learned.encode()).hexdigest(), len(out)))
+            cols = [pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()))]
+            names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+            yield pa.RecordBatch.from_arrays([batch.column("conv_id").cast(pa.int64()), *cols], names)
 
-    return formatted.mapInPandas(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return formatted.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
