@@ -54,8 +54,8 @@ def rotation(dim: int) -> np.ndarray:
 
 def fit(vectors: DataFrame, n: int) -> np.ndarray:
     """Centroids by k-means on a bounded sample, about a list for each sqrt(n) vectors."""
-    spot = F.pmod(F.xxhash64(F.lit(5), "vec_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    rows = vectors.where(spot < min(1.0, SAMPLE / max(1, n))).select("v").toPandas()
+    spot = F.pmod(F.xxhash64(F.lit(5), "vec_id", "v"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    rows = vectors.where(spot < min(1.0, SAMPLE / max(1, n))).select("vec_id", "v").distinct().orderBy("vec_id", "v").select("v").toPandas()
     x = np.array(rows["v"].tolist())
     if not len(x):
         x = np.array(vectors.limit(1).toPandas()["v"].tolist())

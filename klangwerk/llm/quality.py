@@ -166,18 +166,27 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float | None = None
     return Model(mean, scale, _train(z, risk, rng, EPOCHS, k), prior)
 
 
-def _share(name: str, most: int, count: int):
-    spot = F.pmod(F.xxhash64(F.lit(name), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+def _share(name: str, most: int, count: int, *columns: str):
+    spot = F.pmod(F.xxhash64(F.lit(name), *columns), F.lit(1 << 30)) / F.lit(float(1 << 30))
     return spot < min(1.0, most / max(1, count))
 
 
+def _sample(docs: DataFrame) -> list[np.ndarray]:
+    """The features of a bounded sample, equal rows once, in an order that reruns keep."""
+    rows = _featured(docs.select("doc_id", "text"), ["doc_id"]).distinct().orderBy("doc_id", "x")
+    return [np.frombuffer(r["x"], np.float64) for r in rows.select("x").collect()]
+
+
 def learn(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
     """docs (doc_id, text) are the unlabelled texts; of labels, rows of quality 1 name the positives."""
     good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
     n_good, n_docs = good.count(), docs.count()
-    picked = good.where(_share("p", positives, n_good))
-    x = [np.frombuffer(r["x"], np.float64) for r in _featured(docs.join(F.broadcast(picked), "doc_id", "left_semi"), ["doc_id"]).orderBy("doc_id").select("x").collect()]
-    y = [np.frombuffer(r["x"], np.float64) for r in _featured(docs.where(_share("u", unlabelled, n_docs)), ["doc_id"]).orderBy("doc_id").select("x").collect()]
+    picked = F.broadcast(good.where(_share("p", positives, n_good, "doc_id")))
+    # ids may repeat: of the documents that have them, again no more than the bound
+    theirs = docs.join(picked, "doc_id", "left_semi")
+    n_theirs = docs.select("doc_id").join(picked, "doc_id", "left_semi").count()
+    x = _sample(theirs.where(_share("q", positives, n_theirs, "doc_id", "text")))
+    y = _sample(docs.where(_share("u", unlabelled, n_docs, "doc_id", "text")))
     width = len(features(np.zeros(0, np.uint8), np.zeros(2, np.int64))[0])
     return fit(np.array(x).reshape(-1, width), np.array(y).reshape(-1, width))
 

@@ -107,6 +107,58 @@ def test_mixing(docs, empty):
     assert mixing.mix(empty).count() == 0
 
 
+def brute_targets(sizes):
+    """Sizes by source in order: share, and share the excess anew until no target is above its cap."""
+    weight = {s: mixing.WEIGHTS[i % 3] for i, s in enumerate(sizes)}
+    capped = {}
+    while True:
+        rest = {s: n for s, n in sizes.items() if s not in capped}
+        left = 1.5 * sum(sizes.values()) - sum(capped.values())
+        target = {s: left * weight[s] / sum(weight[x] for x in rest) for s in rest}
+        over = {s: 2.0 * sizes[s] for s in rest if target[s] > 2 * sizes[s]}
+        if not over:
+            return capped | target
+        capped |= over
+
+
+def test_mixing_targets(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(["w"] * int(rng.integers(0, 40))), None if (s := int(rng.integers(0, 9))) == 8 else f"s{s}") for i in range(4000) for _ in range(1 + (i % 50 == 0))]
+    rows += [(5000 + i, "w " * 700, "big") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.mix(docs).collect()
+    sizes = {}
+    for _, text, source in rows:
+        sizes[source] = sizes.get(source, 0) + len(text.split())
+    sizes = {s: sizes[s] for s in sorted(sizes, key=lambda s: (s is None, s or ""))}
+    want, taken = brute_targets(sizes), {}
+    for r in out:
+        assert r.source_size == sizes[r.source] and abs(r.target - want[r.source]) < 1e-6 * r.target and r.taken in (0, r["size"], 2 * r["size"])
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+    longest = max(len(t.split()) for _, t, _ in rows)
+    assert all(abs(taken[s] - want[s]) <= 2 * longest for s in want) and len(out) == len(rows)
+    assert sorted(map(str, out)) == sorted(map(str, mixing.mix(docs.repartition(7)).collect()))
+    # smaller budgets take a part of what larger ones take
+    less = {(r.doc_id, r.text_key): r.taken for r in mixing.mix(docs.withColumn("text_key", F.col("text")), share=0.7, keep=("text_key",)).collect()}
+    more = {(r.doc_id, r.text_key): r.taken for r in mixing.mix(docs.withColumn("text_key", F.col("text")), share=1.1, keep=("text_key",)).collect()}
+    assert all(less[k] <= more[k] for k in less)
+
+
+def test_langid_rule(spark):
+    # told from brute-force sizes, with ties to the language of more labelled documents; held-out accuracy
+    rng = np.random.default_rng(12)
+    vocabulary = {f"l{k}": ["".join(rng.choice(list("abcdefghijklmnopqrst"[k * 4 : k * 4 + 9]), 5)) for _ in range(300)] for k in range(3)}
+    rows = [(i, " ".join(rng.choice(vocabulary[f"l{i % 3}"], int(rng.integers(1, 120)))), f"l{i % 3}" if i < 450 else None) for i in range(600)]
+    docs = spark.createDataFrame(rows + [(600, "a", None), (600, "a", None)], "doc_id long, text string, lang string")
+    told = langid.learn(docs.where("doc_id < 450"))
+    out = {r.doc_id: r for r in langid.identify(docs, told).collect()}
+    coders = [langid.zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=langid.zstandard.ZstdCompressionDict(d, dict_type=langid.zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False, write_checksum=False, write_dict_id=False) for d in told.values()]
+    for i, text, _ in rows[450:500]:
+        sizes = [len(c.compress(langid.letters(text))) for c in coders]
+        assert out[i].lang_pred == list(told)[sizes.index(min(sizes))]
+    assert sum(out[i].lang_pred == f"l{i % 3}" for i in range(450, 600)) >= 140
+
+
 def test_langid(docs, empty):
     found = {r.doc_id: r for r in langid.identify(docs, langid.learn(docs)).collect()}
     assert found[4].lang_pred == found[5].lang_pred == found[7].lang_pred == "und" and found[1].lang_pred == "en"
@@ -142,6 +194,9 @@ def test_chat(spark):
     assert chat.locate(chat.last_only, turns)[2]
     df = spark.createDataFrame([(1, 0, None, None), (1, 0, "user", "x"), (None, 1, "user", "y")], "conv_id long, turn long, role string, text string")
     assert chat.digests(chat.format_conversations(df)).count() == 2
+    big = spark.createDataFrame([(9007199254740993, 0, "user", "x"), (None, 0, "user", "x" * 9000)], "conv_id long, turn long, role string, text string")
+    assert {r.conv_id for r in chat.digests(chat.format_conversations(big)).collect()} == {9007199254740993, None}
+    assert {r.rewrites_history for r in chat.format_conversations(spark.createDataFrame([(1, i, r, "t") for i, r in enumerate(("user", "assistant") * 40)], "conv_id long, turn long, role string, text string"), "last_only").collect()} == {True}
 
 
 def test_leaks(docs, spark, empty):
