@@ -27,7 +27,9 @@ from klangwerk.llm.store import bloom, in_bloom, materialise, table
 
 LENGTH = 400
 GRAM = 32
-SHARD = 1 << 20
+SHARD = 1 << 18
+#: Bytes of text handled at once: what is made of them fits in a cache.
+BLOCK = 1 << 17
 _PIECE = 4 << 20
 _POS = np.uint64(24)
 _LOW = np.uint64((1 << 24) - 1)
@@ -68,7 +70,7 @@ def _windows(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nda
 def _blocks(batch: pa.RecordBatch, length: int):
     """(rows of the batch, bytes, offsets, offset of each piece in its text): long texts in overlapping pieces."""
     base = 0
-    for part, data, offsets in tk.blocks(batch, "text", 1 << 20):
+    for part, data, offsets in tk.blocks(batch, "text", BLOCK):
         if len(data) <= _PIECE:
             yield base + np.arange(part.num_rows), data, offsets, np.zeros(part.num_rows, np.int64)
         else:
