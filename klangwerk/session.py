@@ -10,7 +10,7 @@ _ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
 #: So that Python workers, which live on between tasks, give freed arrays back.
-MEMORY = {"MALLOC_MMAP_THRESHOLD_": str(16 << 20), "MALLOC_ARENA_MAX": "2"}
+MEMORY = {"MALLOC_MMAP_THRESHOLD_": str(8 << 20), "MALLOC_ARENA_MAX": "2"}
 #: Rows of a batch to Python, where the session has the default: texts can be long.
 BATCH = 2_000
 
