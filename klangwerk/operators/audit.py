@@ -29,6 +29,22 @@ def multicodepoint_frequencies(index: DataFrame) -> DataFrame:
     return token_frequencies(index).where(F.length("token") > 1)
 
 
+def report(index: DataFrame, lang: str, source: str, counts: dict) -> dict:
+    """A report of one language and source; what it lists is a row a kind of token, sign or issue, never one a word."""
+    table = lambda df, key: {r[key]: r["count"] for r in df.collect()}
+    tokens, segments, issues = table(token_frequencies(index), "token"), table(segment_frequencies(index), "segment"), {}
+    for r in diagnostics(index).collect():
+        issues.setdefault(r.reason, {})[r.spelling] = {"count": r["count"], "codepoints": [f"U+{ord(c):04X}" for c in r.spelling], "example": [r.example.word, r.example.ipa]}
+    proof = evidence(index).collect()
+    return {
+        "key_format": 2, "language": lang, "source": source, "pronunciations": counts.get("pronunciations", 0), "unique_ipa": counts.get("unique_ipa", 0),
+        "records_with_diagnostics": counts.get("records_with_diagnostics", 0), "serialized_tokens": sum(tokens.values()), "unique_tokens": len(tokens),
+        "phonetic_segments": sum(segments.values()), "unique_segments": len(segments), "boundary_evidence": {r.evidence: r["count"] for r in proof},
+        "boundary_examples": {r.evidence: {"word": r.example.word, "ipa": r.example.ipa} for r in proof}, "token_frequencies": tokens, "segment_frequencies": segments,
+        "multicodepoint_token_frequencies": {t: n for t, n in tokens.items() if len(t) > 1}, "notation_frequencies": table(notation_frequencies(index), "character"), "diagnostics": issues,
+    }
+
+
 #: Fixed value: the signs of notation that are counted, besides white space.
 NOTATION = "/[]()ˈˌ.‿\u035c\u0361\u200d_"
 

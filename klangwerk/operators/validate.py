@@ -22,6 +22,7 @@ class Validated(NamedTuple):
     counters: DataFrame  # (lang, counter, n): only counters that counted something
 
 
+_PLACE = ("phase", "a", "b")
 _ORDER = "struct<phase: int, a: bigint, b: bigint, c: bigint>"
 
 
@@ -41,10 +42,11 @@ class _Judged(NamedTuple):
 def _judged(rows: DataFrame, origin: str, phase: int) -> _Judged:
     """Each pronunciation's valid variants and rejects, once for equal rows."""
     first = rows.select("lang", "word", "ipa", _place(rows, phase).alias("p")).groupBy("lang", "word", "ipa").agg(F.min("p").alias("p"), F.count("*").alias("times"))
+    first = first.select("lang", "word", "ipa", *[F.col(f"p.{x}").alias(x) for x in _PLACE], "times")
     c = pr.with_cleaned(first, origin)
-    at = lambda n: F.struct("p.phase", "p.a", "p.b", F.col(n).cast("long").alias("c")).cast(_ORDER)
-    valid = c.select("lang", "word", F.posexplode("valid").alias("n", "v"), "p", F.col("ipa").alias("written"))
-    bad = c.select("lang", "word", "ipa", "p", F.posexplode("rejects.reason").alias("n", "reason")).select("lang", F.lit(origin).alias("origin"), "word", "ipa", "reason", at("n").alias("position"))
+    at = lambda n: F.struct(*_PLACE, F.col(n).cast("long").alias("c")).cast(_ORDER)
+    valid = c.select("lang", "word", F.posexplode("valid").alias("n", "v"), *_PLACE, F.col("ipa").alias("written"))
+    bad = c.select("lang", "word", "ipa", *_PLACE, F.posexplode("rejects.reason").alias("n", "reason")).select("lang", F.lit(origin).alias("origin"), "word", "ipa", "reason", at("n").alias("position"))
     if origin == "wiktionary":
         bare = valid.where(~pr.stressed(F.col("v")))
         bad = bad.unionByName(bare.select("lang", F.lit(origin).alias("origin"), "word", F.col("written").alias("ipa"), F.lit("missing_stress_mark").alias("reason"), at("n").alias("position")))
@@ -96,7 +98,7 @@ def validate(clean: DataFrame, machine: DataFrame, repairs: DataFrame, generated
     given = given.groupBy("lang", "word", "ipa").agg(F.min("position").alias("position"))
     # a repair that the engine can't say either is rejected on its own account
     unsaid = fresh.rows.join(asked, ["lang", "word"], "left_semi").join(fresh.valid.select("lang", "word").distinct(), ["lang", "word"], "left_anti")
-    unsaid = unsaid.select("lang", F.lit("espeak").alias("origin"), "word", "ipa", F.lit("espeak_generation_invalid").alias("reason"), F.col("p").cast(_ORDER).alias("position"))
+    unsaid = unsaid.select("lang", F.lit("espeak").alias("origin"), "word", "ipa", F.lit("espeak_generation_invalid").alias("reason"), F.struct(*_PLACE, F.lit(0).cast("long").alias("c")).cast(_ORDER).alias("position"))
     rejected = lost.unionByName(engine.bad).unionByName(unsaid)
     has = own.valid.select("lang", "word").union(engine.valid.select("lang", "word")).union(fresh.valid.select("lang", "word")).distinct()
     failed = asked.join(has, ["lang", "word"], "left_anti")

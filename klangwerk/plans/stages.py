@@ -14,13 +14,20 @@ def signature(inputs: dict[str, str], options: dict, code: list[str] = ()) -> st
     return hashlib.sha256(json.dumps([inputs, options, sums], sort_keys=True).encode()).hexdigest()
 
 
-def run_stage(state: str, own: str, stage: Callable[[str], dict[str, str]], out: Callable[[], dict[str, str]] | None = None) -> dict[str, str]:
-    """Reuse the outputs named in the state file if its signature is `own` and they still have their digests."""
+def run_stage(state: str, own: str, stage: Callable[[str], dict[str, str]], there: Callable[[dict[str, str]], bool] = bool) -> dict[str, str]:
+    """The outputs named in the state file, if its signature is `own` and they are still `there`; else the stage runs.
+
+    A state file that can't be read counts as none. While the stage runs there is none either, so that a
+    build that was stopped starts the stage again.
+    """
     path = Path(state)
-    if path.exists():
+    try:
         known = json.loads(path.read_text())
-        if known["signature"] == own and (out is None or out() == known["outputs"]):
+        if known["signature"] == own and there(known["outputs"]):
             return known["outputs"]
+    except (OSError, ValueError, KeyError, TypeError):
+        pass
+    path.unlink(missing_ok=True)
     outputs = stage(own)
     part = Path(f"{state}.part")
     part.write_text(json.dumps({"signature": own, "outputs": outputs}, sort_keys=True))
