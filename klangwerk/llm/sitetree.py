@@ -29,11 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from klangwerk.llm.store import materialise, table
+from klangwerk.llm.store import hot_join, materialise, table
 
 MIN_IMPORTANCE = 0.2
 #: The share of a page's unmarked text that landmarks must hold to stand for the page.
 MOST = 0.5
+#: Low nodes of all hosts together that executors get at once (16 MiB); of more, each host's go to its pages.
+LOW_NODES = 2 << 20
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|textarea|iframe|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
@@ -268,7 +270,7 @@ def low_branches(pages: DataFrame, min_importance: float = MIN_IMPORTANCE) -> Da
     return low.groupBy("host").agg(F.collect_set("node").alias("low"))
 
 
-def extract(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
+def extract(pages: DataFrame, id_col: str = "page_id", low_nodes: int = LOW_NODES) -> DataFrame:
     """(page_id, url, text, n_chars) of every page."""
     base = pages.select(F.col(id_col).alias("page_id"), "url", "html", F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), _HOST, 1)).alias("host"))
     low = materialise(low_branches(base.select("host", "html")), "site-low")
@@ -280,8 +282,8 @@ def extract(pages: DataFrame, id_col: str = "page_id") -> DataFrame:
             cols = [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
             yield pa.RecordBatch.from_arrays(cols, ["page_id", "url", "text", "n_chars"])
 
-    if low.limit(1).count():
-        base = base.join(low, "host", "left")
+    if total := low.agg(F.sum(F.size("low") + F.octet_length("host") / 8)).first()[0]:
+        base = base.join(F.broadcast(low), "host", "left") if total <= low_nodes else hot_join(base, low, "host")
     else:
         base = base.withColumn("low", F.lit(None).cast("array<long>"))
     return base.select("page_id", "url", "html", "low").mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
