@@ -1,10 +1,11 @@
 """Operator 4: benchmark decontamination by shared runs of words and exact edit checks.
 
-Texts are words: runs of letters and digits in lower case. An edit breaks at most q of the n - q + 1 runs
-of q words that an item of n words has, so a part of a text within k edits of it holds n - q + 1 - q * k
-of them or more, and they start at most k places apart from where the item's start would be. Places with
-so many are checked exactly by edit distance in words, with free ends. That loses no match, whatever
-the length of the item and the kind of the edits; runs have GRAM words, or fewer where that leaves none.
+Texts are words: runs of letters and digits in lower case, and single characters of scripts without
+spaces. An edit breaks at most q of the n - q + 1 runs of q words that an item of n words has, so a part
+of a text within k edits of it holds n - q + 1 - q * k of them or more, and they start at most k places
+apart from where the item's start would be. Places with so many are checked exactly by edit distance in
+words, with free ends. That loses no match, whatever the length of the item and the kind of the edits;
+runs have GRAM words, or fewer where that leaves none.
 
 This takes the place of a CGK embedding with sampled LSH keys, which missed long passages with many edits.
 
@@ -65,7 +66,7 @@ class Items:
         self.ids, self.words = [], []
         for item_id, text in rows:
             data = np.frombuffer((text or "").encode(), np.uint8)
-            s, e, _ = tk.words(data, np.array([0, len(data)]), tk.ALNUM)
+            s, e, _ = tk.words(data, np.array([0, len(data)]), tk.ALNUM, characters=True)
             if len(s) >= MIN_WORDS:
                 self.ids.append(item_id)
                 self.words.append(tk.word_hashes(data, s, e))
@@ -149,7 +150,7 @@ def _find(docs: DataFrame, items: Items, id_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, data, offsets in tk.blocks(batch, "text"):
-                s, e, row = tk.words(data, offsets, tk.ALNUM)
+                s, e, row = tk.words(data, offsets, tk.ALNUM, characters=True)
                 best: dict[tuple[int, int], tuple[int, int, int]] = {}
                 for r, i, *found in items.matches(tk.word_hashes(data, s, e), row):
                     best[r, i] = min(best.get((r, i), tuple(found)), tuple(found))

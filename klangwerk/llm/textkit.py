@@ -27,6 +27,8 @@ WORDISH[[32, 9, 10, 11, 12, 13]] = False
 #: True for ASCII letters and digits and every byte of a multi-byte character.
 ALNUM = np.zeros(256, dtype=bool)
 ALNUM[48:58] = ALNUM[65:91] = ALNUM[97:123] = ALNUM[128:] = True
+#: Scripts without spaces, by the first two bytes of their characters: Thai and Lao, Myanmar, Khmer, kana, ideographs.
+SPACELESS = ((0xE0B8, 0xE0BB), (0xE180, 0xE181), (0xE19E, 0xE19F), (0xE381, 0xE383), (0xE390, 0xE9BF), (0xEFA4, 0xEFAB), (0xF0A0, 0xF0B3))
 
 
 def powers(base: int, n: int) -> np.ndarray:
@@ -73,8 +75,21 @@ def blocks(batch: pa.RecordBatch, column: str, block: int = BLOCK) -> Iterator[t
         i = j
 
 
-def words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = WORDISH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, row) of every maximal run of `kind` bytes; runs never cross rows."""
+def _spaceless(data: np.ndarray) -> np.ndarray:
+    """Where the characters of scripts without spaces begin."""
+    at = np.flatnonzero(data >= 0xE0)
+    lead = data[at].astype(np.int32) << 8 | data[np.minimum(at + 1, len(data) - 1)]
+    found = np.zeros(len(at), bool)
+    for a, b in SPACELESS:
+        found |= (lead >= a) & (lead <= b)
+    return at[found]
+
+
+def words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = WORDISH, characters: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, row) of every maximal run of `kind` bytes; runs never cross rows.
+
+    With `characters`, each character of a script without spaces is a word.
+    """
     n = len(data)
     if not n:
         z = np.zeros(0, np.int64)
@@ -87,6 +102,11 @@ def words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = WORDISH) ->
     full = end > begin
     first[begin[full]] |= inside[begin[full]]
     last[end[full] - 1] |= inside[end[full] - 1]
+    if characters and len(at := _spaceless(data)):
+        for cut in (at, at + np.where(data[at] >= 0xF0, 4, 3)):
+            cut = cut[(cut > 0) & (cut < n)]
+            first[cut] |= inside[cut]
+            last[cut - 1] |= inside[cut - 1]
     s = np.flatnonzero(first)
     return s, np.flatnonzero(last) + 1, np.searchsorted(offsets, s, "right") - 1
 

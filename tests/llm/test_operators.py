@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from klangwerk.llm import ann, chat, decontam, exactdup, jaccard, langid, linededup, mixing, quality, sitetree, suffix
+from klangwerk.llm import textkit as tk
 
 LONG = " ".join(f"w{i}" for i in range(400))
 DOCS = [
@@ -240,6 +241,28 @@ def test_edited_leaks(spark):
     assert len(want) >= 24 and got == want
 
 
+def test_characters_as_words():
+    # against a pattern, on rows of mixed scripts
+    one = "\u0e00-\u0eff\u1000-\u107f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U00033fff"
+    pattern = re.compile(f"[{one}]|[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f{one}]+")
+    rng = np.random.default_rng(13)
+    for _ in range(200):
+        rows = ["".join(rng.choice(list("aB1 .\u00e9\u10d0\uac00\u0e01\u1000\u1780\u3042\u4e2d\u9fff\U00020000\U0001f600"), rng.integers(0, 9))) for _ in range(4)]
+        data = np.frombuffer("".join(rows).encode(), np.uint8)
+        offsets = np.cumsum([0, *(len(r.encode()) for r in rows)])
+        s, e, row = tk.words(data, offsets, tk.ALNUM, characters=True)
+        assert [(int(r), data[a:b].tobytes().decode()) for a, b, r in zip(s, e, row)] == [(i, w) for i, r in enumerate(rows) for w in pattern.findall(r)]
+
+
+def test_leaks_without_spaces(spark):
+    # a passage of 30 ideographs, one of them changed, inside a longer run
+    item = "".join(chr(0x4E00 + 7 * i) for i in range(30))
+    texts = ["".join(chr(0x6E00 + i) for i in range(50)) + item[:12] + "\u3042" + item[13:] + "\u4e2d" * 20, "".join(chr(0x6E00 + i) for i in range(99)), item[::-1]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = decontam.find_leaks(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert [(r.doc_id, r.start_word, r.edits, r.n_words) for r in found] == [(0, 50, 1, 30)]
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(2)
     x = rng.standard_normal((600, 16))
@@ -328,6 +351,8 @@ def test_site_tree(spark):
     assert out[52] == "title 2\n\ntext 2 of its own\n\nc 0"
     assert "read all on this site" in out[70] and "the same" in out[70] or out[70].startswith("title")  # two pages prove nothing
     assert len(out) == len(pages) + 1 and out[None] == ""
+    # the same where low nodes are too many to go to all executors
+    assert {r.page_id: r.text for r in sitetree.extract(df, low_nodes=0).collect()} == out
 
 
 def test_unclosed_markup():
