@@ -47,6 +47,8 @@ BEST = (4, None)
 LIST_BLOCK = 1024
 #: Keys that each set of the scan brings along, to tell lists that give the same pair.
 FIRST_KEYS = 8
+#: So few pairs with a leader are verified as they are: to rule some out by counts first takes longer.
+FEW = 1 << 14
 
 
 def _sets(batch: pa.RecordBatch, k: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray], np.ndarray]]:
@@ -115,8 +117,9 @@ def frequencies(told: DataFrame) -> np.ndarray:
     out = np.zeros(1 << SKETCH_BITS, np.uint16)
     cut = 1 << (SKETCH_BITS - 6)
     summed = told.where("part is not null").select("part", "sketch").repartition(64, "part").mapInArrow(run, "part int, sketch binary")
-    for r in summed.toLocalIterator():
-        out[r["part"] * cut : (r["part"] + 1) * cut] = np.frombuffer(r["sketch"], np.uint16)
+    got = summed.toArrow()  # 8 MiB; one job, where an iterator takes one a partition
+    for part, raw in zip(got["part"].to_pylist(), got["sketch"]):
+        out[part * cut : (part + 1) * cut] = np.frombuffer(raw.as_buffer(), np.uint16)
     return out
 
 
@@ -433,19 +436,22 @@ def similar_sets(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> tup
         if linked:
             known = crowded.join(found, crowded["sid"] == found["u"], "left").select("key", "sid", "n", "at", F.coalesce("root", "sid").alias("root"))
         # written, so that the rows of a long list may be dealt to many tasks
-        split = materialise(known.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("k")).where("a <> b").select("key", "k"), f"{work}/split")
+        turn = F.struct(F.xxhash64("sid").alias("turn"), "sid", "n", "at", "root")
+        leader = [F.min(turn).alias("h")] if best == 0 else []
+        split = known.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"), F.count("*").alias("k"), *leader)
+        split = materialise(split.where("a <> b").drop("a", "b"), f"{work}/split")
         if not split.limit(1).count():
             break
         apart = materialise(known.join(split.select("key"), "key"), "jaccard-apart") if linked else known
         crowded = apart.drop("root")  # lists of one component stay so
         if best == 0:
-            turn = F.struct(F.xxhash64("sid").alias("turn"), "sid", "n", "at", "root")
-            head = apart.groupBy("key").agg(F.min(turn).alias("h")).select("key", *[F.col(f"h.{a}").alias(b) for a, b in (("sid", "sid2"), ("n", "n2"), ("at", "at2"), ("root", "root2"))])
-            head = materialise(head, f"{work}/head")
+            head = split.select("key", *[F.col(f"h.{a}").alias(b) for a, b in (("sid", "sid2"), ("n", "n2"), ("at", "at2"), ("root", "root2"))])
             pairs = apart.join(head, "key").where((F.col("root") != F.col("root2")) & fits)
             pairs = pairs.select(F.least("sid", "sid2").alias("u"), F.greatest("sid", "sid2").alias("v")).distinct()
             pairs = tested = materialise(pairs, "jaccard-pairs")
-            pairs, more = _possible(each, pairs, percent, work), True
+            if pairs.limit(FEW + 1).count() > FEW:
+                pairs = _possible(each, pairs, percent, work)
+            more = True
         else:
             scanned = materialise(_scan(apart, split, each, light, percent, best), "jaccard-pairs")
             more = bool(scanned.where("more").limit(1).count())

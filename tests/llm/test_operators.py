@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from klangwerk.llm import ann, chat, decontam, exactdup, jaccard, langid, linededup, mixing, quality, sitetree, suffix
+from klangwerk.llm import ann, chat, components, decontam, exactdup, jaccard, langid, linededup, mixing, quality, sitetree, suffix
 from klangwerk.llm import textkit as tk
 
 LONG = " ".join(f"w{i}" for i in range(400))
@@ -453,3 +453,43 @@ def test_jaccard_groups(spark):
     got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in got) == want
     assert len({w[2] for w in want}) < len(want) / 4
+
+
+def jobs_of(spark, group, f):
+    """What f returns, and how many jobs it took."""
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        return f(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_components(spark, monkeypatch):
+    # one task up to a bound, rounds beyond it: the same trees, and no rounds for a few links
+    rng = np.random.default_rng(3)
+    links = [(int(a), int(b)) for a, b in rng.integers(-400, 400, (300, 2))] + [(k, k + 1) for k in range(1000, 1100)] + [(7, 7), (2000, 2000)]
+    root = {x: x for p in links for x in p}
+    for _ in links:
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    want = sorted((x, r) for x, r in root.items() if x != r)
+    df = spark.createDataFrame(links, "u long, v long")
+    got, jobs = jobs_of(spark, "few", lambda: components.components(df).collect())
+    assert sorted(map(tuple, got)) == want and jobs <= 5
+    monkeypatch.setattr(components, "WHOLE", 100)
+    assert sorted(map(tuple, components.components(df).collect())) == want
+
+
+def test_frequencies(spark):
+    # the driver asks once, not once a partition
+    told = jaccard.set_table(spark.createDataFrame([(i, f"a b c d{i} e f") for i in range(50)], "doc_id long, text string"), 4).cache()
+    out, jobs = jobs_of(spark, "sketch", lambda: jaccard.frequencies(told))
+    told.unpersist()
+    assert jobs <= 4 and sum(round(2 ** (x / 1000)) - 1 for x in out[out > 0]) == 150
+
+
+def test_jaccard_in_rounds(docs, monkeypatch):
+    # the ways of many pairs and links give the same
+    monkeypatch.setattr(jaccard, "FEW", 0)
+    monkeypatch.setattr(components, "WHOLE", 0)
+    assert {tuple(r) for r in jaccard.near_duplicates(docs).collect()} == brute_groups()
