@@ -9,6 +9,10 @@ have several, merged by binary search of each one's strings in the others' suffi
 Cases: null text is empty; equal rows repeat each other; a row is known by its id and text together, so
 repeated and null ids keep their rows apart or alike as their texts are; texts are taken as UTF-8 bytes
 whole, in pieces where they are long.
+
+Beside that, passages of over 50 words that documents share are counted, many of which are shorter than
+such strings: strings of PASSAGE words (white space aside) are dealt by their least hash of RUN words in
+the same way, and those that meet are compared by 64-bit hashes. They tell, and remove nothing.
 """
 
 from __future__ import annotations
@@ -31,6 +35,11 @@ SHARD = 1 << 18
 #: Bytes of text handled at once: what is made of them fits in a cache.
 BLOCK = 1 << 17
 _PIECE = 4 << 20
+#: Words of a passage, and of the runs by whose hashes passages are dealt.
+PASSAGE = 51
+RUN = 8
+#: Passages compared at once.
+HELD = 1 << 20
 _POS = np.uint64(24)
 _LOW = np.uint64((1 << 24) - 1)
 
@@ -92,26 +101,63 @@ def _digests(batch: pa.RecordBatch) -> tuple[list[str], np.ndarray, np.ndarray]:
     return [s.hexdigest() for s in sums], np.diff(offsets), tk.mix(tops ^ tk.mix(ids)).view(np.int64)
 
 
-def _first_pass(docs: DataFrame, length: int) -> DataFrame:
-    """Rows (doc_id, rid, n_bytes, sha) of documents, and (key, c) of keys and how many pieces have them."""
+def _running(h: np.ndarray, w: int) -> np.ndarray:
+    """A hash of each run of w of the hashes."""
+    n = len(h)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(h * tk.powers(tk._P, n), out=total[1:])
+    return tk.mix((total[w:] - total[: n - w + 1]) * tk.powers(tk._PINV, n)[: n - w + 1])
+
+
+def _passages(batch: pa.RecordBatch, words: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows of the batch, first words in their rows, hashes, keys, their places) of all strings of so many words inside rows."""
+    base, run = 0, min(RUN, words)
+    for part, data, offsets in tk.blocks(batch, "text", BLOCK):
+        s, e, row = tk.words(data, offsets)
+        all_h = tk.word_hashes(data, s, e, lower=False)
+        first = np.searchsorted(row, np.arange(part.num_rows))
+        for b in range(0, len(s) - words + 1, _PIECE):
+            h, r = all_h[b : b + _PIECE + words - 1], row[b : b + _PIECE + words - 1]
+            at = np.flatnonzero(r[: len(h) - words + 1] == r[words - 1 :])
+            if len(at):
+                x = _running(h, run)
+                place = (_least((x & ~_LOW) | np.arange(len(x)).astype(np.uint64), words - run + 1) & _LOW).astype(np.int64)[at]
+                yield base + r[at], b + at - first[r[at]], _running(h, words)[at], x[place], place
+        base += part.num_rows
+
+
+def _first_pass(docs: DataFrame, length: int, words: int) -> DataFrame:
+    """Rows (doc_id, rid, n_bytes, sha, passages) of documents, and (key, run, c) of keys of strings and of runs of words, and how many pieces have them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "rid", "n_bytes", "sha", "key", "c"]
+        names = ["doc_id", "rid", "n_bytes", "sha", "passages", "key", "run", "c"]
+
+        def counted(keys: np.ndarray, of_words: bool) -> pa.RecordBatch:
+            keys, counts = np.unique(keys, return_counts=True)
+            none = pa.nulls(len(keys), pa.int64())
+            return pa.RecordBatch.from_arrays(
+                [none, none, none, pa.nulls(len(keys), pa.string()), none, pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), of_words)), pa.array(counts)], names
+            )
+
         for batch in batches:
+            passages = np.zeros(batch.num_rows, np.int64)
+            for row, _, _, key, place in _passages(batch, words):
+                passages += np.bincount(row, minlength=batch.num_rows)
+                yield counted(key[np.concatenate([[True], (place[1:] != place[:-1]) | (row[1:] != row[:-1])])], True)
             sha, size, rid = _digests(batch)
             none = pa.nulls(len(sha), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), pa.array(rid), pa.array(size), pa.array(sha, pa.string()), none, none], names)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id").cast(pa.int64()), pa.array(rid), pa.array(size), pa.array(sha, pa.string()), pa.array(passages), none, pa.nulls(len(sha), pa.bool_()), none], names
+            )
             for _, data, offsets, _ in _blocks(batch, length):
                 start, row, (k1, p1, k2, p2) = _windows(data, offsets, length)
                 if not len(start):
                     continue
                 # a key counts once a place, however many strings share it
                 once = [k[np.concatenate([[True], (p[1:] != p[:-1]) | (row[1:] != row[:-1])])] for k, p in ((k1, p1), (k2, p2))]
-                keys, counts = np.unique(np.concatenate(once), return_counts=True)
-                none = pa.nulls(len(keys), pa.int64())
-                yield pa.RecordBatch.from_arrays([none, none, none, pa.nulls(len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(counts)], names)
+                yield counted(np.concatenate(once), False)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, rid long, n_bytes long, sha string, key long, c long")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, rid long, n_bytes long, sha string, passages long, key long, run boolean, c long")
 
 
 def _pieces(docs: DataFrame, length: int, words: np.ndarray) -> DataFrame:
@@ -234,12 +280,77 @@ def _spans(pieces: DataFrame, length: int, shard: int = SHARD) -> DataFrame:
     return near.mapInArrow(run, "rid long, a long, b long")
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", shard: int = SHARD) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans) of every document."""
+def _shared(docs: DataFrame, words: int, known: np.ndarray, held: int = HELD) -> DataFrame:
+    """(rid, n): how many strings of so many words of a document another one holds, too; a repeated row has them repeatedly."""
+
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rid = _digests(batch)[2]
+            for row, at, h, key, place in _passages(batch, words):
+                alive = in_bloom(known, key)
+                row, at, h, key, place = row[alive], at[alive], h[alive], key[alive], place[alive]
+                if not len(row):
+                    continue
+                cut = np.flatnonzero((place[1:] != place[:-1]) | (row[1:] != row[:-1])) + 1
+                b = np.concatenate([[0], cut])
+                lists = pa.ListArray.from_arrays(pa.array(np.append(b, len(h)).astype(np.int32)), pa.array(h.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(key[b].view(np.int64)), pa.array(rid[row[b]]), pa.array(at[b]), lists], ["key", "rid", "start", "hashes"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: list[np.ndarray] = []  # (key, hash, rid, place) of passages that are not compared yet
+        size, met = 0, np.zeros(0, np.int64)  # met: hashes of the last key that documents share
+
+        def settle(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """(the passages, which of them documents share), in another order."""
+            x = x[:, np.lexsort((x[3], x[1]))]
+            same = x[1, 1:] == x[1, :-1]
+            pair = same & ((x[2, 1:] != x[2, :-1]) | (x[3, 1:] == x[3, :-1]))
+            group = np.concatenate([[0], np.cumsum(~same)])
+            two = np.zeros(group[-1] + 1, bool)
+            two[group[1:][pair]] = True
+            return x, two[group] | np.isin(x[1], met)
+
+        def told(rid: np.ndarray) -> pa.RecordBatch:
+            rids, n = np.unique(rid, return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(rids), pa.array(n)], ["rid", "n"])
+
+        for batch in batches:
+            hashes = batch.column("hashes")
+            n = np.diff(hashes.offsets.to_numpy())
+            if not len(n):
+                continue
+            key, rid, start = (np.repeat(batch.column(c).to_numpy(), n) for c in ("key", "rid", "start"))
+            at = start + np.arange(len(key)) - np.repeat(np.cumsum(n) - n, n)
+            place = tk.mix(rid.view(np.uint64) ^ tk.mix(at.view(np.uint64))).view(np.int64)
+            rest.append(np.stack([key, hashes.flatten().to_numpy(), rid, place]))
+            size += len(key)
+            if size >= held:
+                x, two = settle(np.concatenate(rest, axis=1))
+                yield told(x[2][two])
+                # what the last key has may go on
+                last = x[0] == key[-1]
+                met = np.unique(x[1][two & last])
+                rest = [x[:, ~two & last]]
+                size = 0
+        if rest:
+            x, two = settle(np.concatenate(rest, axis=1))
+            yield told(x[2][two])
+
+    near = docs.select("doc_id", "text").mapInArrow(candidates, "key long, rid long, start long, hashes array<long>").repartition("key").sortWithinPartitions("key")
+    return near.mapInArrow(compare, "rid long, n long").groupBy("rid").agg(F.sum("n").alias("n"))
+
+
+def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", shard: int = SHARD, words: int = PASSAGE) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_passages, n_shared, spans) of every document.
+
+    n_passages: its strings of so many words; n_shared: those of them that another document holds, too.
+    """
     docs = docs.select(F.col(id_col).alias("doc_id"), "text")
-    told = materialise(_first_pass(docs, length), "repeat-keys")
-    keys = told.where("key is not null").groupBy("key").agg(F.sum("c").alias("c")).where("c > 1").select("key")
+    told = materialise(_first_pass(docs, length, words), "repeat-keys")
+    keys = told.where("key is not null").groupBy("run", "key").agg(F.sum("c").alias("c")).where("c > 1").select("run", "key")
     keys = materialise(keys, "repeat-common")
+    runs, keys = keys.where("run"), keys.where("not run")
+    shared = materialise(_shared(docs, words, bloom(runs, "key", runs.count())), "repeat-passages")
     words = bloom(keys, "key", keys.count())
     spans = materialise(_spans(_pieces(docs, length, words), length, shard), "repeat-spans")
     by_row = spans.groupBy("rid").agg(F.sort_array(F.collect_set(F.struct("a", "b"))).alias("spans"))
@@ -272,10 +383,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
 
     texts = docs.mapInArrow(wanted, "rid long, text string").dropDuplicates(["rid"])
     done = texts.join(by_row, "rid").mapInArrow(cut, "rid long, n_removed long, n_spans long, kept_sha256 string, spans array<array<long>>")
-    rows = told.where("rid is not null").select("doc_id", "rid", "n_bytes", "sha")
-    return rows.join(done, "rid", "left").select(
+    rows = told.where("rid is not null").select("doc_id", "rid", "n_bytes", "sha", "passages")
+    return rows.join(done, "rid", "left").join(shared, "rid", "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
-        F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"), "spans",
+        F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"), F.coalesce("kept_sha256", "sha").alias("kept_sha256"),
+        F.col("passages").alias("n_passages"), F.least("passages", F.coalesce("n", F.lit(0).cast("long"))).alias("n_shared"), "spans",
     )
 
 

@@ -1,8 +1,10 @@
 import hashlib
 import os
 import re
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,6 +78,31 @@ def test_suffix_dedup_long(spark):
     assert [tuple(out[len(t)][c] for c in ("n_removed", "n_spans")) for _, t in rows] == [(1100, 2), (600, 1), (500, 1), (0, 0)]
 
 
+def test_shared_passages(spark, monkeypatch):
+    # passages of 51 words and more that documents share, under 400 bytes and whatever the white space; not those of one text alone
+    rng = np.random.default_rng(4)
+    own = lambda n: [f"{rng.integers(10**6):x}" for _ in range(n)]
+    short, long, once = ["a", *own(50)], own(90), own(60)
+    rows = [(1, own(70) + short + own(9)), (2, own(5) + short), (3, short[:50] + own(80)), (4, once + own(3) + once), (5, long), (6, own(200) + long), (7, own(300))]
+    rows = [(i, " ".join(w)) for i, w in rows] + [(8, "\n".join(long)), (9, None), (None, " ".join(once[:51])), (10, "x " * 120), (10, "x " * 120), (11, "y " * 60)]
+    strings = [Counter(tuple(w[i : i + 51]) for i in range(len(w) - 50)) for w in ((t or "").split() for _, t in rows)]
+    want = [(i, sum(s.values()), sum(n for x, n in s.items() if sum(x in o for o in strings) > 1)) for (i, _), s in zip(rows, strings)]
+    assert [n for _, _, n in want] == [1, 1, 0, 2, 40, 40, 0, 40, 0, 1, 70, 70, 0]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    key = lambda r: (r[0] is None, *r)
+    shared = exactdup._shared
+    for held in (1 << 20, 1):
+        monkeypatch.setattr(exactdup, "_shared", lambda d, w, k, h=held: shared(d, w, k, h))
+        got = exactdup.remove_repeats(df).select("doc_id", "n_passages", "n_shared").collect()
+        assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
+    # words of long texts are taken in parts
+    batch = pa.RecordBatch.from_pydict({"text": [t for _, t in rows]})
+    whole = [np.concatenate(x) for x in zip(*exactdup._passages(batch, 51))]
+    monkeypatch.setattr(exactdup, "_PIECE", 7)
+    parts = [np.concatenate(x) for x in zip(*exactdup._passages(batch, 51))]
+    assert all((x == y).all() for x, y in zip(whole[:3], parts[:3])) and len(whole[0]) == sum(n for _, n, _ in want)
+
+
 def test_lower_bounds():
     rng = np.random.default_rng(8)
     for _ in range(40):
