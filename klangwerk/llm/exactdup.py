@@ -283,61 +283,101 @@ def _spans(pieces: DataFrame, length: int, shard: int = SHARD) -> DataFrame:
 def _shared(docs: DataFrame, words: int, known: np.ndarray, held: int = HELD) -> DataFrame:
     """(rid, n): how many strings of so many words of a document another one holds, too; a repeated row has them repeatedly."""
 
+    kinds = {"key": pa.int64(), "done": pa.bool_()} | {c: pa.list_(pa.int64()) for c in ("hashes", "rids", "places", "counts")}
+
+    def shared(hashes: np.ndarray, rids: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Which of the passages, in the order of their hashes and places, two documents or two equal rows hold."""
+        same = hashes[1:] == hashes[:-1]
+        pair = same & ((rids[1:] != rids[:-1]) | (places[1:] == places[:-1]))
+        group = np.concatenate([[0], np.cumsum(~same)])
+        two = np.zeros(group[-1] + 1, bool)
+        two[group[1:][pair]] = True
+        return two[group]
+
+    def rows(key: np.ndarray, done: bool, *lists: np.ndarray) -> pa.RecordBatch:
+        """One row a run of equal keys."""
+        cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        at = pa.array(np.append(cut, len(key)).astype(np.int32))
+        return pa.RecordBatch.from_arrays([pa.array(key[cut]), pa.array(np.full(len(cut), done)), *[pa.ListArray.from_arrays(at, pa.array(x)) for x in lists]], list(kinds))
+
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row's equal passages once, with their first place and their count. Of those that two rows have at once,
+        the counts are done and only one goes on, for the documents of other batches."""
         for batch in batches:
-            rid = _digests(batch)[2]
-            for row, at, h, key, place in _passages(batch, words):
+            rid, found, size = _digests(batch)[2], [], 0
+            for row, at, h, key, _ in _passages(batch, words):
                 alive = in_bloom(known, key)
-                row, at, h, key, place = row[alive], at[alive], h[alive], key[alive], place[alive]
-                if not len(row):
-                    continue
-                cut = np.flatnonzero((place[1:] != place[:-1]) | (row[1:] != row[:-1])) + 1
-                b = np.concatenate([[0], cut])
-                lists = pa.ListArray.from_arrays(pa.array(np.append(b, len(h)).astype(np.int32)), pa.array(h.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(key[b].view(np.int64)), pa.array(rid[row[b]]), pa.array(at[b]), lists], ["key", "rid", "start", "hashes"])
+                found.append(np.stack([key[alive].view(np.int64), h[alive].view(np.int64), row[alive], at[alive]]))
+                size += found[-1].shape[1]
+                if size >= held:
+                    yield from combined(rid, np.concatenate(found, axis=1))
+                    found, size = [], 0
+            if size:
+                yield from combined(rid, np.concatenate(found, axis=1))
+
+    def combined(rid: np.ndarray, found: np.ndarray) -> Iterator[pa.RecordBatch]:
+        key, h, row, at = found[:, np.lexsort((found[3], found[2], found[1]))]
+        lead = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (row[1:] != row[:-1])]))
+        n = np.diff(np.append(lead, len(h)))
+        key, h, row, at = key[lead], h[lead], row[lead], at[lead]
+        first = np.concatenate([[True], h[1:] != h[:-1]])
+        group = np.cumsum(first) - 1
+        two = np.bincount(group)[group] > 1
+        if two.any():
+            rids, back = np.unique(rid[row[two]], return_inverse=True)
+            sums = np.zeros(len(rids), np.int64)
+            np.add.at(sums, back, n[two])
+            zero = np.zeros(len(rids), np.int64)
+            yield rows(rids, True, zero, rids, zero, sums)
+        n[two] = 0
+        order = np.flatnonzero(first)[np.argsort(key[first], kind="stable")]
+        yield rows(key[order], False, h[order], rid[row[order]], at[order], n[order])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: list[np.ndarray] = []  # (key, hash, rid, place) of passages that are not compared yet
-        size, met = 0, np.zeros(0, np.int64)  # met: hashes of the last key that documents share
+        rest: list[np.ndarray] = []  # (key, hash, rid, place, count) of passages that are not compared yet
+        size, met, met_key = 0, np.zeros(0, np.int64), None  # met: hashes of the key that may go on that documents share
 
         def settle(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             """(the passages, which of them documents share), in another order."""
-            x = x[:, np.lexsort((x[3], x[1]))]
-            same = x[1, 1:] == x[1, :-1]
-            pair = same & ((x[2, 1:] != x[2, :-1]) | (x[3, 1:] == x[3, :-1]))
-            group = np.concatenate([[0], np.cumsum(~same)])
-            two = np.zeros(group[-1] + 1, bool)
-            two[group[1:][pair]] = True
-            return x, two[group] | np.isin(x[1], met)
-
-        def told(rid: np.ndarray) -> pa.RecordBatch:
-            rids, n = np.unique(rid, return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(rids), pa.array(n)], ["rid", "n"])
+            places = tk.mix(x[2].view(np.uint64) ^ tk.mix(x[3].view(np.uint64)))
+            order = np.lexsort((places, x[1]))
+            x = x[:, order]
+            return x, shared(x[1], x[2], places[order]) | np.isin(x[1], met)
+
+        def told(x: np.ndarray) -> pa.RecordBatch:
+            rids, back = np.unique(x[2], return_inverse=True)
+            sums = np.zeros(len(rids), np.int64)
+            np.add.at(sums, back, x[4])
+            return pa.RecordBatch.from_arrays([pa.array(rids), pa.array(sums)], ["rid", "n"])
 
         for batch in batches:
-            hashes = batch.column("hashes")
-            n = np.diff(hashes.offsets.to_numpy())
+            n = np.diff(batch.column("hashes").offsets.to_numpy())
             if not len(n):
                 continue
-            key, rid, start = (np.repeat(batch.column(c).to_numpy(), n) for c in ("key", "rid", "start"))
-            at = start + np.arange(len(key)) - np.repeat(np.cumsum(n) - n, n)
-            place = tk.mix(rid.view(np.uint64) ^ tk.mix(at.view(np.uint64))).view(np.int64)
-            rest.append(np.stack([key, hashes.flatten().to_numpy(), rid, place]))
-            size += len(key)
+            x = np.stack([np.repeat(batch.column("key").to_numpy(), n), *[batch.column(c).flatten().to_numpy() for c in ("hashes", "rids", "places", "counts")]])
+            done = np.repeat(batch.column("done").to_numpy(zero_copy_only=False), n)
+            if done.any():
+                yield told(x[:, done])
+            x = x[:, ~done]
+            if not x.shape[1]:
+                continue
+            rest.append(x)
+            size += x.shape[1]
             if size >= held:
+                end = x[0, -1]
                 x, two = settle(np.concatenate(rest, axis=1))
-                yield told(x[2][two])
+                yield told(x[:, two])
                 # what the last key has may go on
-                last = x[0] == key[-1]
-                met = np.unique(x[1][two & last])
+                last = x[0] == end
+                met, met_key = np.union1d(met if end == met_key else met[:0], x[1][two & last]), end
                 rest = [x[:, ~two & last]]
                 size = 0
-        if rest:
+        if rest and sum(x.shape[1] for x in rest):
             x, two = settle(np.concatenate(rest, axis=1))
-            yield told(x[2][two])
+            yield told(x[:, two])
 
-    near = docs.select("doc_id", "text").mapInArrow(candidates, "key long, rid long, start long, hashes array<long>").repartition("key").sortWithinPartitions("key")
-    return near.mapInArrow(compare, "rid long, n long").groupBy("rid").agg(F.sum("n").alias("n"))
+    near = docs.select("doc_id", "text").mapInArrow(candidates, "key long, done boolean, hashes array<long>, rids array<long>, places array<long>, counts array<long>")
+    return near.repartition("key").sortWithinPartitions("key").mapInArrow(compare, "rid long, n long").groupBy("rid").agg(F.sum("n").alias("n"))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", shard: int = SHARD, words: int = PASSAGE) -> DataFrame:

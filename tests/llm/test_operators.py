@@ -90,11 +90,16 @@ def test_shared_passages(spark, monkeypatch):
     assert [n for _, _, n in want] == [1, 1, 0, 2, 40, 40, 0, 40, 0, 1, 70, 70, 0]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     key = lambda r: (r[0] is None, *r)
-    shared = exactdup._shared
-    for held in (1 << 20, 1):
+    shared, size = exactdup._shared, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    for held, batch in ((1 << 20, spark.conf.get(size)), (1, "1"), (1, spark.conf.get(size))):
+        spark.conf.set(size, batch)
         monkeypatch.setattr(exactdup, "_shared", lambda d, w, k, h=held: shared(d, w, k, h))
         got = exactdup.remove_repeats(df).select("doc_id", "n_passages", "n_shared").collect()
         assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
+    # a passage that each of many texts has many times is dealt once a batch, and not once a place
+    many = spark.createDataFrame([(i, f"a{i} " + " ".join(once) * 9) for i in range(200)], "doc_id long, text string").coalesce(1)
+    full = np.full(1 << 10, np.uint64(2**64 - 1))
+    assert shared(many, 51, full).count() == 200 and max(r.n for r in shared(many, 51, full).collect()) == 9 * 60 - 8 - 50
     # words of long texts are taken in parts
     batch = pa.RecordBatch.from_pydict({"text": [t for _, t in rows]})
     whole = [np.concatenate(x) for x in zip(*exactdup._passages(batch, 51))]
