@@ -55,25 +55,31 @@ def _least(h: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(back[: n - w + 1], ahead[w - 1 : n])
 
 
-def _windows(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """(starts, rows, [keys, their places, keys by another order, their places]) of all strings of `length` bytes inside rows."""
-    none = np.zeros(0, np.int64)
+def _windows(data: np.ndarray, offsets: np.ndarray, length: int, together: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]]:
+    """(first starts, ends of the starts, rows, keys, places of the first key) of runs of strings of `length` bytes inside
+    rows that have their keys at the same places: of two orders' keys together, or of one order after the other."""
     gram = min(GRAM, length)
-    size = offsets[1:] - offsets[:-1]
-    if len(data) < length or not (size >= length).any():
-        return none, none, [none.astype(np.uint64), none, none.astype(np.uint64), none]
-    n = len(data)
-    grams = np.arange(n - gram + 1)
-    h = tk._range_hash(data, grams, grams + gram)
-    row = np.repeat(np.arange(len(size)), np.maximum(size - length + 1, 0))
-    first = np.cumsum(np.maximum(size - length + 1, 0)) - np.maximum(size - length + 1, 0)
-    start = offsets[:-1][row] + np.arange(len(row)) - first[row]
-    out = []
-    for salt in (0, 0x5851F42D4C957F2D):
-        x = tk.mix(h ^ np.uint64(salt)) if salt else h
-        place = (_least((x & ~_LOW) | grams.astype(np.uint64), length - gram + 1) & _LOW).astype(np.int64)[start]
-        out += [x[place], place]
-    return start, row, out
+    fits = np.flatnonzero(offsets[1:] - offsets[:-1] >= length)
+    if not len(fits):
+        return
+    h = tk.gram_hashes(data, gram)
+    grams = np.arange(len(h), dtype=np.uint64)
+    orders = []
+    for salt in (1, 0x5851F42D4C957F2D):
+        x = h * np.uint64(salt)
+        marked = x & ~_LOW
+        marked |= grams
+        least = _least(marked, length - gram + 1)
+        orders.append((x, least, np.flatnonzero(least[1:] != least[:-1]) + 1))
+    edges = np.concatenate([offsets[fits], offsets[fits + 1] - length + 1])
+    for some in [orders] if together else [orders[:1], orders[1:]]:
+        cut = np.unique(np.concatenate([edges, *[c for _, _, c in some]]))
+        b, e = cut[:-1], cut[1:]
+        row = np.searchsorted(offsets, b, "right") - 1
+        inside = b + length <= offsets[row + 1]
+        b, e, row = b[inside], e[inside], row[inside]
+        places = [(least[b] & _LOW).astype(np.int64) for _, least, _ in some]
+        yield b, e, row, [x[p] for (x, _, _), p in zip(some, places)], places[0]
 
 
 def _blocks(batch: pa.RecordBatch, length: int):
@@ -150,12 +156,10 @@ def _first_pass(docs: DataFrame, length: int, words: int) -> DataFrame:
                 [batch.column("doc_id").cast(pa.int64()), pa.array(rid), pa.array(size), pa.array(sha, pa.string()), pa.array(passages), none, pa.nulls(len(sha), pa.bool_()), none], names
             )
             for _, data, offsets, _ in _blocks(batch, length):
-                start, row, (k1, p1, k2, p2) = _windows(data, offsets, length)
-                if not len(start):
-                    continue
                 # a key counts once a place, however many strings share it
-                once = [k[np.concatenate([[True], (p[1:] != p[:-1]) | (row[1:] != row[:-1])])] for k, p in ((k1, p1), (k2, p2))]
-                yield counted(np.concatenate(once), False)
+                once = [keys[0] for _, _, _, keys, _ in _windows(data, offsets, length, together=False)]
+                if once:
+                    yield counted(np.concatenate(once), False)
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, rid long, n_bytes long, sha string, passages long, key long, run boolean, c long")
 
@@ -167,114 +171,164 @@ def _pieces(docs: DataFrame, length: int, words: np.ndarray) -> DataFrame:
         for batch in batches:
             rid = _digests(batch)[2]
             for rows, data, offsets, base in _blocks(batch, length):
-                start, row, (k1, place, k2, _) = _windows(data, offsets, length)
-                alive = in_bloom(words, k1)
-                alive[alive] = in_bloom(words, k2[alive])
-                start, row, key, place = start[alive], row[alive], k1[alive], place[alive]
-                if not len(start):
-                    continue
-                cut = np.flatnonzero((place[1:] != place[:-1]) | (start[1:] != start[:-1] + 1) | (row[1:] != row[:-1])) + 1
-                b, e = np.concatenate([[0], cut]), np.concatenate([cut, [len(start)]]) - 1
-                raw = memoryview(np.ascontiguousarray(data))
-                parts = [bytes(raw[x:y]) for x, y in zip(start[b], start[e] + length)]
-                prints = np.array([int.from_bytes(hashlib.blake2b(p, digest_size=8).digest(), "big") for p in parts], np.uint64)
-                r = row[b]
-                who, at = rid[rows[r]], start[b] - offsets[r] + base[r]
-                # equal pieces of a block go once, with all their places
-                k = key[b].view(np.int64)
-                order = np.lexsort((prints, k))
-                lead = np.ones(len(order), bool)
-                lead[1:] = (k[order][1:] != k[order][:-1]) | (prints[order][1:] != prints[order][:-1])
-                first = order[lead]
-                places = pa.array(np.append(np.flatnonzero(lead), len(order)).astype(np.int32))
-                lists = [pa.ListArray.from_arrays(places, pa.array(x[order])) for x in (who, at)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(k[first]), pa.array(prints[first].view(np.int64)), *lists, tk.binaries([parts[i] for i in first])],
-                    ["key", "print", "rids", "starts", "piece"],
-                )
+                for b, e, row, (key, other), place in _windows(data, offsets, length, together=True):
+                    alive = in_bloom(words, key)
+                    alive[alive] = in_bloom(words, other[alive])
+                    if not alive.any():
+                        continue
+                    b, e, row, key, place = b[alive], e[alive], row[alive], key[alive], place[alive]
+                    lead = np.concatenate([[True], (place[1:] != place[:-1]) | (b[1:] != e[:-1]) | (row[1:] != row[:-1])])
+                    b, e, r, k = b[lead], e[np.concatenate([lead[1:], [True]])], row[lead], key[lead].view(np.int64)
+                    raw = memoryview(np.ascontiguousarray(data))
+                    parts = [bytes(raw[x:y]) for x, y in zip(b.tolist(), (e + (length - 1)).tolist())]
+                    prints = np.frombuffer(b"".join([hashlib.blake2b(p, digest_size=8).digest() for p in parts]), ">u8").astype(np.uint64)
+                    who, at = rid[rows[r]], b - offsets[r] + base[r]
+                    # equal pieces of a block go once, with all their places
+                    order = np.lexsort((prints, k))
+                    lead = np.ones(len(order), bool)
+                    lead[1:] = (k[order][1:] != k[order][:-1]) | (prints[order][1:] != prints[order][:-1])
+                    first = order[lead]
+                    places = pa.array(np.append(np.flatnonzero(lead), len(order)).astype(np.int32))
+                    lists = [pa.ListArray.from_arrays(places, pa.array(x[order])) for x in (who, at)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(k[first]), pa.array(prints[first].view(np.int64)), *lists, tk.binaries([parts[i] for i in first])],
+                        ["key", "print", "rids", "starts", "piece"],
+                    )
 
     return docs.select("doc_id", "text").mapInArrow(run, "key long, print long, rids array<long>, starts array<long>, piece binary")
 
 
 class _Shards:
-    """The distinct pieces of some keys; `take` gives the spans to remove of those that occur once."""
+    """The distinct pieces of some keys, those of a key one after the other; `take` gives the spans to remove of those
+    that occur once.
 
-    def __init__(self, length: int, shard: int):
-        self.length, self.shard, self.pieces, self.at = length, shard, [], []
+    Strings of one piece have one key at one place, and equal strings have it at one distance, so no string is twice in
+    a piece, and a key that has a single piece needs no suffix array. Strings of different keys differ, so only the
+    shards of a key of several are merged.
+    """
 
-    def take(self) -> list[tuple[int, int, int]]:
+    def __init__(self, length: int, shard: int):
+        self.length, self.shard, self.size = length, shard, 0
+        self.pieces: list[bytes] = []
+        self.at: list[tuple[int, int] | None] = []
+        self.begins: list[int] = []
+
+    def key(self) -> None:
+        """The pieces to come have another key."""
+        if self.begins and len(self.pieces) - self.begins[-1] == 1:
+            self.begins.pop()
+            self.at.pop()
+            self.size -= len(self.pieces.pop())
+        self.begins.append(len(self.pieces))
+
+    def add(self, piece: bytes, at: tuple[int, int] | None) -> None:
+        self.pieces.append(piece)
+        self.at.append(at)
+        self.size += len(piece)
+
+    def take(self) -> list[np.ndarray]:
+        """[rids, begins, ends]; keys are ended by `key` first."""
+        small, size, shards = [], 0, []
+        for a, b in zip(self.begins, self.begins[1:]):
+            total = sum(map(len, self.pieces[a:b]))
+            if total > self.shard:
+                shards.append(self._split(range(a, b)))
+                continue
+            if small and size + total > self.shard:
+                shards.append([small])
+                small, size = [], 0
+            small.extend(range(a, b))
+            size += total
+        if small:
+            shards.append([small])
+        out = [self._repeats(groups) for groups in shards]
+        self.pieces, self.at, self.begins, self.size = [], [], [0], 0
+        return [np.concatenate([np.zeros(0, np.int64), *x]) for x in zip(*out)] if out else []
+
+    def _split(self, key: range) -> list[list[int]]:
         groups, size = [[]], 0
-        for i, p in enumerate(self.pieces):
-            if size and size + len(p) > self.shard:
+        for i in key:
+            if size and size + len(self.pieces[i]) > self.shard:
                 groups.append([])
                 size = 0
             groups[-1].append(i)
-            size += len(p)
-        built = [self._build(g) for g in groups if g]
-        for x, (_, text, _, starts, dup) in enumerate(built):
-            for y, (_, other, sa, _, _) in enumerate(built):
+            size += len(self.pieces[i])
+        return groups
+
+    def _repeats(self, groups: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        built = [self._build(g) for g in groups]
+        for x, (_, text, _, starts, dup, _) in enumerate(built):
+            for y, (_, other, sa, _, _, _) in enumerate(built):
                 if x != y:
                     rest = starts[~dup[starts]]
                     dup[rest[suffix.lower_bounds(other, sa, text, rest, self.length)]] = True
-        out = []
-        for group, _, _, _, dup in built:
-            begin = 0
-            for i in group:
-                n = len(self.pieces[i])
-                if self.at[i] is not None:
-                    rid, start = self.at[i]
-                    hit = np.flatnonzero(dup[begin : begin + n])
-                    if len(hit):
-                        cut = np.flatnonzero(np.diff(hit) > self.length) + 1
-                        for a, b in zip(hit[np.concatenate([[0], cut])], hit[np.concatenate([cut, [len(hit)]]) - 1]):
-                            out.append((rid, start + int(a), start + int(b) + self.length))
-                begin += n
-        self.pieces, self.at = [], []
-        return out
+        out = [(np.zeros(0, np.int64),) * 3]
+        for group, _, _, _, dup, begin in built:
+            hit = np.flatnonzero(dup)
+            if not len(hit):
+                continue
+            of = np.searchsorted(begin, hit, "right") - 1
+            lead = np.concatenate([[True], (np.diff(hit) > self.length) | (of[1:] != of[:-1])])
+            first, last, of = hit[lead], hit[np.concatenate([lead[1:], [True]])], of[lead]
+            at = [self.at[group[i]] for i in of.tolist()]
+            one = np.array([x is not None for x in at])
+            if one.any():
+                rid, start = np.array([x for x in at if x is not None], np.int64).T
+                begins = begin[of[one]]
+                out.append((rid, start + first[one] - begins, start + last[one] - begins + self.length))
+        return tuple(np.concatenate(x) for x in zip(*out))
 
     def _build(self, group: list[int]):
-        text = np.frombuffer(b"".join(self.pieces[i] for i in group), np.uint8)
+        text = np.frombuffer(b"".join([self.pieces[i] for i in group]), np.uint8)
         size = np.array([len(self.pieces[i]) for i in group])
         begin = np.cumsum(size) - size
         valid = np.zeros(len(text), bool)
-        for b, n in zip(begin, size):
+        for b, n in zip(begin.tolist(), size.tolist()):
             valid[b : b + n - self.length + 1] = True
         dup, sa = suffix.repeated(text, valid, self.length)
-        return group, text, sa[valid[sa]], np.flatnonzero(valid), dup
+        return group, text, sa[valid[sa]], np.flatnonzero(valid), dup, begin
 
 
 def _spans(pieces: DataFrame, length: int, shard: int = SHARD) -> DataFrame:
     """(rid, a, b): spans that repeats cover. Pieces come by key, equal ones together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shards, size, last_key, last_print = _Shards(length, shard), 0, None, None
+        shards, last_key, last_print = _Shards(length, shard), None, None
 
-        def batch_of(spans: list[tuple[int, int, int]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([s[i] for s in spans], pa.int64()) for i in range(3)], ["rid", "a", "b"])
+        def batches_of(spans: list) -> Iterator[pa.RecordBatch]:
+            for i in range(0, len(spans[0]) if spans else 0, 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x[i : i + 100_000], pa.int64()) for x in spans], ["rid", "a", "b"])
 
         for batch in batches:
-            out = []
-            for key, mark, rids, starts, piece in zip(*(batch.column(c).to_pylist() for c in ("key", "print", "rids", "starts", "piece"))):
-                places = [(r, s, s + len(piece)) for r, s in zip(rids, starts)]
-                if key == last_key and mark == last_print and len(piece) == len(shards.pieces[-1]):
-                    if shards.at[-1] is not None:
-                        r, s = shards.at[-1]
-                        out.append((r, s, s + len(piece)))
-                        shards.at[-1] = None
-                    out += places
+            rids, begins, ends = whole = [], [], []
+            ids, marks = (batch.column(c).to_numpy().tolist() for c in ("key", "print"))
+            at = batch.column("rids").offsets.to_numpy()
+            at = (at - at[0]).tolist()
+            who, starts = (batch.column(c).flatten().to_numpy().tolist() for c in ("rids", "starts"))
+            for key, mark, i, j, piece in zip(ids, marks, at[:-1], at[1:], batch.column("piece").to_pylist()):
+                n = len(piece)
+                same = key == last_key and mark == last_print and n == len(shards.pieces[-1])
+                if same and shards.at[-1] is not None:
+                    r, s = shards.at[-1]
+                    rids.append(r)
+                    begins.append(s)
+                    ends.append(s + n)
+                    shards.at[-1] = None
+                if same or j - i > 1:
+                    rids += who[i:j]
+                    begins += starts[i:j]
+                    ends += [s + n for s in starts[i:j]]
+                if same:
                     continue
-                if key != last_key and size + len(piece) > shard:
-                    out += shards.take()
-                    size = 0
-                shards.pieces.append(piece)
-                shards.at.append(places[0][:2] if len(places) == 1 else None)
-                out += places if len(places) > 1 else []
-                size += len(piece)
+                if key != last_key:
+                    shards.key()
+                    if shards.size + n > shard:
+                        yield from batches_of(shards.take())
+                shards.add(piece, (who[i], starts[i]) if j - i == 1 else None)
                 last_key, last_print = key, mark
-            for i in range(0, len(out), 100_000):
-                yield batch_of(out[i : i + 100_000])
-        if shards.pieces:
-            yield batch_of(shards.take())
+            yield from batches_of(whole)
+        shards.key()
+        yield from batches_of(shards.take())
 
     near = pieces.repartition("key").sortWithinPartitions("key", "print")
     return near.mapInArrow(run, "rid long, a long, b long")

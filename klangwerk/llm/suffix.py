@@ -29,13 +29,26 @@ def suffix_array(text: np.ndarray, first: np.ndarray | None = None) -> np.ndarra
     rank[sa] = at
     slots = np.flatnonzero(~(lead & np.concatenate([lead[1:], [True]])))
     h = 8
+    # rank, rank ahead and position of up to 2^21 suffixes in one number, which sorts faster than an order of others is found
+    width = n.bit_length()
+    low = np.uint64((1 << width) - 1)
     while len(slots) and h < 2 * n + 16:
         i = sa[slots]
         ahead = i + h
-        second = np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
-        both = (rank[i].astype(np.uint64) << np.uint64(32)) | second.astype(np.uint64)
-        order = np.argsort(both)
-        both, i = both[order], i[order]
+        second = np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0).astype(np.uint64)
+        both = rank[i].astype(np.uint64)
+        if 3 * width <= 64:
+            both <<= np.uint64(width)
+            both |= second
+            both <<= np.uint64(width)
+            both |= i.astype(np.uint64)
+            both.sort()
+            i = (both & low).astype(np.int64)
+            both >>= np.uint64(width)
+        else:
+            both = (both << np.uint64(32)) | second
+            order = np.argsort(both)
+            both, i = both[order], i[order]
         sa[slots] = i
         lead = np.concatenate([[True], both[1:] != both[:-1]])
         rank[i] = slots[np.maximum.accumulate(np.where(lead, np.arange(len(slots)), 0))]
@@ -67,9 +80,9 @@ def common_prefixes(text: np.ndarray, sa: np.ndarray, first: np.ndarray | None =
         a, b = i[active] + done[active], j[active] + done[active]
         room = n - np.maximum(a, b)
         diff = np.where(room > 0, key[np.minimum(a, n - 1)] ^ key[np.minimum(b, n - 1)], np.uint64(1 << 63))
-        equal = np.full(len(active), 8, np.int64)
-        for byte in range(7, -1, -1):
-            equal[(diff >> np.uint64(56 - 8 * byte)) & np.uint64(255) != 0] = byte
+        equal = np.zeros(len(active), np.int64)
+        for byte in range(8):
+            equal += diff < np.uint64(1 << 8 * byte)
         equal = np.minimum(equal, np.maximum(room, 0))
         done[active] += equal
         active = active[equal == 8]

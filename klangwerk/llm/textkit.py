@@ -117,6 +117,18 @@ def _range_hash(data: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
     return mix((h[e] - h[s]) * powers(_PINV, len(data) + 1)[s] + (e - s).astype(np.uint64))
 
 
+def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
+    """A 64-bit hash of each run of so many bytes."""
+    h = np.zeros(len(data) + 1, dtype=np.uint64)
+    x = _BYTE[data]
+    x *= powers(_P, len(data))
+    np.cumsum(x, out=h[1:])
+    x = h[gram:] - h[:-gram]
+    x *= powers(_PINV, len(x))
+    x += U(gram)
+    return mix(x)
+
+
 def word_hashes(data: np.ndarray, s: np.ndarray, e: np.ndarray, lower: bool = True) -> np.ndarray:
     """A 64-bit hash of each byte range; ranges are ascending and disjoint."""
     if lower:

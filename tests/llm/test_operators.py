@@ -78,6 +78,59 @@ def test_suffix_dedup_long(spark):
     assert [tuple(out[len(t)][c] for c in ("n_removed", "n_spans")) for _, t in rows] == [(1100, 2), (600, 1), (500, 1), (0, 0)]
 
 
+def test_suffix_work(monkeypatch):
+    # suffix arrays are made of keys with several pieces only, and only the shards of one key are merged
+    class Frame:
+        def repartition(self, *_):
+            return self
+
+        sortWithinPartitions = repartition
+
+        def mapInArrow(self, f, _):
+            return f
+
+    rng = np.random.default_rng(2)
+    fresh = lambda n: rng.integers(97, 123, n).astype(np.uint8).tobytes()
+    twice, hot = fresh(60), fresh(50)
+    rows = [(1, 0, [1], fresh(90)), (2, 0, [2, 3], fresh(80)), (2, 0, [4], b""), (3, 0, [5], b"a" + twice), (3, 1, [6], b"b" + twice), (4, 0, [7], fresh(70))]
+    rows[2] = (2, 0, [4], rows[1][3])
+    rows += [(5, i, [10 + i], fresh(9) + hot + fresh(9)) for i in range(4)] + [(6, 0, [20], b"c" + twice), (6, 1, [21], fresh(40) + fresh(30)), (7, 0, [22], fresh(60))]
+    kinds = {"key": pa.int64(), "print": pa.int64(), "rids": pa.list_(pa.int64()), "starts": pa.list_(pa.int64()), "piece": pa.binary()}
+    cols = [[k for k, *_ in rows], [p for _, p, *_ in rows], [r for _, _, r, _ in rows], [[100] * len(r) for _, _, r, _ in rows], [t for *_, t in rows]]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds.values())], list(kinds))
+    built, merges, repeated, bounds = [], [], suffix.repeated, suffix.lower_bounds
+    monkeypatch.setattr(suffix, "repeated", lambda text, *a: built.append(text.tobytes()) or repeated(text, *a))
+    monkeypatch.setattr(suffix, "lower_bounds", lambda text, sa, other, *a: merges.append((text.tobytes(), other.tobytes())) or bounds(text, sa, other, *a))
+    for parts in ([batch], [batch.slice(i, 1) for i in range(len(rows))]):
+        built.clear()
+        merges.clear()
+        got = {tuple(r.values()) for b in exactdup._spans(Frame(), 50, shard=140)(iter(parts)) for r in b.to_pylist()}
+        assert got == {(i, 100, 180) for i in (2, 3, 4)} | {(5, 101, 161), (6, 101, 161)} | {(10 + i, 109, 159) for i in range(4)}
+        assert sum(map(len, built)) == 2 * 61 + 4 * 68 + 61 + 70
+        assert merges and all(hot in x and hot in y for x, y in merges)
+
+
+def test_windows():
+    # runs of strings hold each string inside a row once, and equal strings have equal keys by both orders, at equal distances
+    rng = np.random.default_rng(5)
+    size = np.array([0, 300, 39, 40, 0, 41, 500, 3])
+    offsets, data = np.concatenate([[0], np.cumsum(size)]), rng.integers(97, 123, size.sum()).astype(np.uint8)
+    data[offsets[6] + 100 : offsets[6] + 250] = data[offsets[1] + 20 : offsets[1] + 170]
+    starts = [(i, r) for r in range(len(size)) for i in range(offsets[r], offsets[r + 1] - 39)]
+    both = list(exactdup._windows(data, offsets, 40, True))
+    for runs in (*both, *exactdup._windows(data, offsets, 40, False)):
+        b, e, row, keys, place = runs
+        assert [(i, r) for x, y, r in zip(b, e, row) for i in range(x, y)] == starts
+        of = np.repeat(np.arange(len(b)), e - b)
+        at, seen = np.array([i for i, _ in starts]), {}
+        for i, k in zip(at, of):
+            seen.setdefault(data[i : i + 40].tobytes(), set()).add((int(place[k] - i), *(int(x[k]) for x in keys)))
+        assert len(seen) == len(starts) - 111 and all(len(x) == 1 for x in seen.values())
+    # a run goes on as long as its keys do
+    assert len(both) == 1 and len(both[0][0]) < len(starts) // 2
+    assert not list(exactdup._windows(data[:39], np.array([0, 39]), 40, True)) and not list(exactdup._windows(data[:0], np.array([0, 0]), 40, False))
+
+
 def test_shared_passages(spark, monkeypatch):
     # passages of 51 words and more that documents share, under 400 bytes and whatever the white space; not those of one text alone
     rng = np.random.default_rng(4)
@@ -129,6 +182,20 @@ def test_suffix_array():
         assert list(suffix.common_prefixes(s, sa)) == want
 
 
+def test_suffix_array_sizes():
+    # positions and ranks of larger texts don't fit in one number; each suffix is above the one before by its first byte and the rest's rank
+    rng = np.random.default_rng(3)
+    for n in ((1 << 21) - 1, 1 << 21):
+        text = rng.integers(97, 101, n).astype(np.uint8)
+        text[-5_000:] = text[:5_000]
+        sa = suffix.suffix_array(text)
+        rank = np.full(n + 1, -1)
+        rank[sa] = np.arange(n)
+        assert (rank[:n] >= 0).all()
+        a, b = sa[:-1], sa[1:]
+        assert ((text[a] < text[b]) | ((text[a] == text[b]) & (rank[a + 1] < rank[b + 1]))).all()
+
+
 def test_mixing(docs, empty):
     rows = mixing.mix(docs).collect()
     assert len(rows) == len(DOCS) and all(0 <= r.taken <= 2 * r["size"] for r in rows)
